@@ -2,22 +2,20 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from stocktrail.functions.scalars import dotted, two_digits
 from stocktrail.sources.eventlog import EVENT_SCHEMA
 
-_EVENT = T.StructType.fromDDL(EVENT_SCHEMA)
-DATASET = _EVENT["inputs"].dataType.elementType
-OUTPUT_DATASET = _EVENT["outputs"].dataType.elementType
+DATASET = EVENT_SCHEMA["inputs"].dataType.elementType
 
 PRODUCER = "stocktrail"
 
 # Optional columns of a run table, with their types.
 _OPTIONAL = {
     "ended_at": "timestamp",
-    "inputs": _EVENT["inputs"].dataType,
-    "outputs": _EVENT["outputs"].dataType,
+    "inputs": EVENT_SCHEMA["inputs"].dataType,
+    "outputs": EVENT_SCHEMA["outputs"].dataType,
     "nominal_start": "timestamp",
     "parent_run_id": "string",
     "parent_namespace": "string",
@@ -58,6 +56,11 @@ def _column(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def _or_none(datasets: str) -> Column:
+    kind = _OPTIONAL[datasets]
+    return F.coalesce(F.col(datasets).cast(kind), F.array().cast(kind))
+
+
 def _when_set(key: str, struct: Column) -> Column:
     return F.when(F.col(key).isNotNull(), struct)
 
@@ -93,11 +96,11 @@ def to_events(runs: DataFrame, producer: str = PRODUCER) -> DataFrame:
         "job": F.struct(
             "namespace", "job", F.struct(_when_set("sql", F.struct("sql")), source)
         ),
-        "inputs": F.coalesce("inputs", F.array().cast(_OPTIONAL["inputs"])),
-        "outputs": F.coalesce("outputs", F.array().cast(_OPTIONAL["outputs"])),
+        "inputs": _or_none("inputs"),
+        "outputs": _or_none("outputs"),
     }
     return runs.withColumn("_m", F.explode(moments)).select(
-        *[fields[f.name].cast(f.dataType).alias(f.name) for f in _EVENT.fields]
+        *[fields[f.name].cast(f.dataType).alias(f.name) for f in EVENT_SCHEMA.fields]
     )
 
 

@@ -2,30 +2,45 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
-
-_SCHEMA_FACET = "schema struct<fields array<struct<name string, type string, description string>>>"
-
-EVENT_SCHEMA = f"""
-eventType string,
-eventTime timestamp,
-producer string,
-run struct<
-  runId string,
-  facets struct<
-    nominalTime struct<nominalStartTime timestamp, nominalEndTime timestamp>,
-    parent struct<run struct<runId string>, job struct<namespace string, name string>>>>,
-job struct<
-  namespace string,
-  name string,
-  facets struct<
-    sql struct<query string>,
-    sourceCodeLocation struct<type string, url string, branch string, version string>>>,
-inputs array<struct<
-  namespace string, name string, facets struct<{_SCHEMA_FACET}>, inputFacets map<string, string>>>,
-outputs array<struct<
-  namespace string, name string, facets struct<{_SCHEMA_FACET}>, outputFacets map<string, string>>>
-"""
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+
+def _struct(**fields) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in fields.items()])
+
+
+_TEXT, _TIME = T.StringType(), T.TimestampType()
+_FACETS = T.MapType(_TEXT, _TEXT)
+_DATASET = {
+    "namespace": _TEXT,
+    "name": _TEXT,
+    "facets": _struct(
+        schema=_struct(fields=T.ArrayType(_struct(name=_TEXT, type=_TEXT, description=_TEXT)))
+    ),
+}
+
+EVENT_SCHEMA = _struct(
+    eventType=_TEXT,
+    eventTime=_TIME,
+    producer=_TEXT,
+    run=_struct(
+        runId=_TEXT,
+        facets=_struct(
+            nominalTime=_struct(nominalStartTime=_TIME, nominalEndTime=_TIME),
+            parent=_struct(run=_struct(runId=_TEXT), job=_struct(namespace=_TEXT, name=_TEXT)),
+        ),
+    ),
+    job=_struct(
+        namespace=_TEXT,
+        name=_TEXT,
+        facets=_struct(
+            sql=_struct(query=_TEXT),
+            sourceCodeLocation=_struct(type=_TEXT, url=_TEXT, branch=_TEXT, version=_TEXT),
+        ),
+    ),
+    inputs=T.ArrayType(_struct(**_DATASET, inputFacets=_FACETS)),
+    outputs=T.ArrayType(_struct(**_DATASET, outputFacets=_FACETS)),
+)
 
 
 def read_events(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
