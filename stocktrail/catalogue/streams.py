@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stocktrail.catalogue.lineage_sql import EVENTS, RUNS
 from stocktrail.catalogue.registry import at, on, query
+from stocktrail.functions.scalars import day
 from stocktrail.plans import standins as S
 from stocktrail.plans.standins import Tables
 from stocktrail.session import scratch_path
@@ -14,8 +15,8 @@ from stocktrail.streaming import jobs as J
 
 
 def _stream(t: Tables, name: str) -> DataFrame:
-    schema = getattr(t, name).schema
-    return t.spark.readStream.schema(schema).parquet(f"{t.folder}/{name}.parquet")
+    # A pattern, because the file source takes a table of one file only so.
+    return t.spark.readStream.schema(getattr(t, name).schema).parquet(f"{t.folder}/{name}.parquet*")
 
 
 def _drain(t: Tables, df: DataFrame, name: str) -> DataFrame:
@@ -34,10 +35,12 @@ def _event_stream(t: Tables) -> DataFrame:
 )
 def ingested_log(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "ingested")
-    stream = J.ingest(_event_stream(t), path, scratch_path(t.spark, "ingested-checkpoint"))
-    stream.awaitTermination()
+    checkpoint = scratch_path(t.spark, "ingested-checkpoint")
+    J.ingest(_event_stream(t), path, checkpoint, period="month").awaitTermination()
     log = t.spark.read.parquet(path)
-    return log.groupBy("event_date", "eventType").agg(F.count("*").alias("n"))
+    return log.groupBy(day("eventTime").alias("event_date"), "eventType").agg(
+        F.count("*").alias("n")
+    )
 
 
 @query("ST2", f"SELECT event_id, user_id, {at('ts')} AS ts FROM events")

@@ -8,15 +8,30 @@ from pyspark.sql import DataFrame, functions as F
 def retain(events: DataFrame, now, days: int = 7, time: str = "eventTime") -> DataFrame:
     """Events of the last ``days`` days before ``now``.
 
-    With the log stored by day (``write_by_day``) only the kept days are read.
+    With the log stored by date (``write_by_date``) a filter on event_date besides reads only those.
     """
     return events.where(F.col(time) >= F.lit(now) - F.make_dt_interval(F.lit(days)))
 
 
-def write_by_day(events: DataFrame, path: str, time: str = "eventTime") -> None:
-    """Store a log by day, replacing only the days it holds."""
+def by_date(
+    events: DataFrame, time: str = "eventTime", run: str = "run.runId", period: str = "day"
+) -> DataFrame:
+    """Events with their ``event_date``, placed for writing by it.
+
+    Ranges of (date, run) are of equal size: small days share a task and so make one file each,
+    a day with most of the events is split over many. ``period`` widens the dates to the first of
+    the week or month, for logs of few events a day.
+    """
+    dated = events.withColumn("event_date", F.to_date(F.date_trunc(period, time)))
+    return dated.repartitionByRange("event_date", run)
+
+
+def write_by_date(
+    events: DataFrame, path: str, time: str = "eventTime", period: str = "day"
+) -> None:
+    """Store a log by date, replacing only the dates it holds."""
     (
-        events.withColumn("event_date", F.to_date(time))
+        by_date(events, time, period=period)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("event_date")

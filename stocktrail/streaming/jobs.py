@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from stocktrail.lineage.upkeep import by_date
+
 # Values of the approval rule, fixed by the service that sends the events.
 APPROVAL_SOURCE = "aws.sagemaker"
 APPROVAL_DETAIL_TYPE = "SageMaker Model Package State Change"
@@ -31,10 +33,12 @@ def drain(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> Da
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def ingest(events: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
+def ingest(
+    events: DataFrame, path: str, checkpoint: str, period: str = "day", **trigger
+) -> StreamingQuery:
     """Append run events to a Parquet log, by event date."""
     return (
-        events.withColumn("event_date", F.to_date("eventTime"))
+        by_date(events, period=period)
         .writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
