@@ -12,6 +12,7 @@ from stocktrail.operators import learn
 from stocktrail.plans import housing, inventory as I, purchase_orders as P, standins as S
 from stocktrail.plans.standins import PERIOD, WEEK_OF, Tables
 from stocktrail.plans.training_set import training_set as assemble_training_set
+from stocktrail.session import written
 
 LO, HI = PERIOD
 
@@ -202,11 +203,11 @@ def _products(t: Tables, by_name: bool) -> DataFrame:
     )
 
 
-def _inventory(t: Tables, by_name: bool) -> DataFrame:
+def _inventory(t: Tables, by_name: bool, products: DataFrame) -> DataFrame:
     return I.inventory(
         S.inventory_daily(t, by_name),
         S.ordering_regions(t),
-        _products(t, by_name),
+        products,
         S.listings(t, by_name),
         I.reserve(S.forecast_weeks(t), S.ordering_files(t), WEEK_OF),
         LO,
@@ -220,7 +221,8 @@ def _inventory(t: Tables, by_name: bool) -> DataFrame:
       CAST(total_available AS bigint) AS total_available, {on('first_date')} AS first_date, wholesale_price, brand FROM inventory""",
 )
 def inventory_per_day(t: Tables) -> DataFrame:
-    return _inventory(t, False).withColumn("reserve", F.round("reserve", 2))
+    inventory = _inventory(t, False, _products(t, False))
+    return inventory.withColumn("reserve", F.round("reserve", 2))
 
 
 POSITION = f"""
@@ -258,8 +260,9 @@ _SPINE_NAMES = [
 
 
 def _stock(t: Tables) -> DataFrame:
-    position = I.position(_inventory(t, True))
-    stock = I.stock_outs(position, _products(t, True), LO, HI)
+    products = written(_products(t, True), "products")
+    position = I.position(_inventory(t, True, products))
+    stock = I.stock_outs(position, products, LO, HI)
     return stock.withColumn("reserve", F.round("reserve", 2))
 
 
@@ -311,6 +314,10 @@ def _lines(t: Tables, by_name: bool) -> DataFrame:
     return P.po_lines(**S.po_inputs(t, by_name), sold=sold)
 
 
+def _line_table(t: Tables) -> DataFrame:
+    return written(_lines(t, True), "purchase-order-lines")
+
+
 _DATES = ["date_placed", "date_shipped_from_vendor", "first_rec_date", "last_rec_date"]
 
 
@@ -359,7 +366,7 @@ oldest AS (SELECT product_id, ordering_region, date, date_diff('day', min(date_p
       round(lead, 9) AS rolling_avg_lead_time_90 FROM rolled WHERE date >= DATE '{LO}'""",
 )
 def supplier_fill_history(t: Tables) -> DataFrame:
-    history = P.fill_history(_lines(t, True), LO, HI)
+    history = P.fill_history(_line_table(t), LO, HI)
     return history.withColumns({c: F.round(c, 9) for c in history.columns[-2:]})
 
 
@@ -370,7 +377,7 @@ def supplier_fill_history(t: Tables) -> DataFrame:
     FROM rolled WHERE date >= DATE '{LO}'""",
 )
 def failed_fills_of_orders_placed(t: Tables) -> DataFrame:
-    return P.placed_history(_lines(t, True), LO, HI)
+    return P.placed_history(_line_table(t), LO, HI)
 
 
 @query(
@@ -379,7 +386,7 @@ def failed_fills_of_orders_placed(t: Tables) -> DataFrame:
     SELECT product_id, ordering_region, {on('date')} AS date, age AS oldest_order_not_received FROM oldest""",
 )
 def age_of_oldest_open_order(t: Tables) -> DataFrame:
-    return P.oldest_order_age(_lines(t, True), LO, HI, "oldest_order_not_received")
+    return P.oldest_order_age(_line_table(t), LO, HI, "oldest_order_not_received")
 
 
 @query(
@@ -393,7 +400,7 @@ def age_of_oldest_open_order(t: Tables) -> DataFrame:
       LEFT JOIN oldest o ON o.product_id = f.product_id AND o.ordering_region = f.ordering_region AND o.date = f.date""",
 )
 def training_set(t: Tables) -> DataFrame:
-    full = assemble_training_set(_spine(t), _lines(t, True), LO, HI)
+    full = assemble_training_set(_spine(t), _line_table(t), LO, HI)
     rounded = ["avg_partial_fill_rate_90", "rolling_avg_lead_time_90"]
     return full.select(
         *_SPINE_NAMES,

@@ -31,7 +31,10 @@ class Tables:
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):
             raise AttributeError(name)
-        return load(self.spark, name, self.folder)
+        # Kept on the instance: a table's schema is read from its files once.
+        table = load(self.spark, name, self.folder)
+        setattr(self, name, table)
+        return table
 
 
 # Houses: a line is a sale, its part the place.

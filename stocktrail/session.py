@@ -56,3 +56,14 @@ def cut(df: DataFrame) -> DataFrame:
     if not context._jsc.sc().getCheckpointDir().isDefined():
         context.setCheckpointDir(scratch_root(spark))
     return df.checkpoint(eager=True)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a table below the shared folder and read it back.
+
+    For a result that several later steps read by a few of its columns each; ``cut`` keeps rows
+    whole and is for the rounds of a loop.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
