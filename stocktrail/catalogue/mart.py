@@ -259,20 +259,15 @@ _SPINE_NAMES = [
 ]
 
 
-def _stock(t: Tables) -> DataFrame:
+def _position(t: Tables) -> tuple[DataFrame, DataFrame]:
     products = written(_products(t, True), "products")
-    position = I.position(_inventory(t, True, products))
-    stock = I.stock_outs(position, products, LO, HI)
-    return stock.withColumn("reserve", F.round("reserve", 2))
+    return I.position(_inventory(t, True, products)), products
 
 
 @query("PIPE6 A13 J7 J8 X11 W2", f"WITH {inventory_sql(True)}, {POSITION} SELECT {_SPINE_COLUMNS} FROM spine")
 def stock_outs_ahead(t: Tables) -> DataFrame:
-    return _stock(t).select(*_SPINE_NAMES)
-
-
-def _spine(t: Tables) -> DataFrame:
-    return I.with_forecast(_stock(t), S.demand_forecast(t), LO, HI)
+    stock = I.stock_outs(*_position(t), LO, HI)
+    return stock.select(*_SPINE_NAMES).withColumn("reserve", F.round("reserve", 2))
 
 
 @query(
@@ -281,7 +276,9 @@ def _spine(t: Tables) -> DataFrame:
     SELECT product_id, ordering_region, {on('date')} AS date, out_of_stock, forecast FROM filled""",
 )
 def forecast_carried_forward(t: Tables) -> DataFrame:
-    return _spine(t).select(*I.SERIES, "date", "out_of_stock", "forecast")
+    position, products = _position(t)
+    stock = I.forecast_stock(position, S.demand_forecast(t), products, LO, HI)
+    return stock.select(*I.SERIES, "date", "out_of_stock", "forecast")
 
 
 # Purchase orders
@@ -400,9 +397,12 @@ def age_of_oldest_open_order(t: Tables) -> DataFrame:
       LEFT JOIN oldest o ON o.product_id = f.product_id AND o.ordering_region = f.ordering_region AND o.date = f.date""",
 )
 def training_set(t: Tables) -> DataFrame:
-    full = assemble_training_set(_spine(t), _line_table(t), LO, HI)
+    position, products = _position(t)
+    full = assemble_training_set(
+        position, S.demand_forecast(t), products, _line_table(t), LO, HI
+    )
     rounded = ["avg_partial_fill_rate_90", "rolling_avg_lead_time_90"]
-    return full.select(
+    return full.withColumn("reserve", F.round("reserve", 2)).select(
         *_SPINE_NAMES,
         "forecast",
         *[F.round(c, 9).alias(c) for c in rounded],
