@@ -13,6 +13,7 @@ from stocktrail.lineage import events as E, graph as G, runs as R, statements as
 from stocktrail.plans import standins as S
 from stocktrail.plans.lineage_report import lineage_report
 from stocktrail.plans.standins import Tables
+from stocktrail.session import cut
 
 
 def _steps(t: Tables) -> DataFrame:
@@ -320,7 +321,7 @@ def all_that_a_part_is_made_from(t: Tables) -> DataFrame:
     UNION ALL SELECT DISTINCT node, b.dst, 2 FROM start JOIN e a ON a.src = node JOIN e b ON b.src = a.dst""",
 )
 def downstream_of_each_dataset(t: Tables) -> DataFrame:
-    graph = R.flow_edges(R.edges(S.run_events(t)))
+    graph = R.flow_edges(cut(R.edges(S.run_events(t))))
     sources = graph.select(F.col("src").alias("node")).where(F.col("node").startswith("dataset:"))
     return G.closure(graph, sources.select(F.col("node").alias("label"), "node"))
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from stocktrail.operators.learn import evaluate, fit_ols
 from stocktrail.operators.relational import enrich, require
+from stocktrail.session import written
 
 # Fixed values of the model.
 PRICE_RANGE = (10_000, 1_000_000)
@@ -25,5 +26,6 @@ def features(sales: DataFrame, locations: DataFrame) -> DataFrame:
 
 
 def train(sales: DataFrame, locations: DataFrame) -> DataFrame:
-    frame = features(sales, locations)
+    """Fit on all sales and judge on the same; the features are a table, read once for each."""
+    frame = written(features(sales, locations), "features")
     return evaluate(fit_ols(frame, FEATURES, TARGET), frame, FEATURES, TARGET)

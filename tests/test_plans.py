@@ -63,42 +63,71 @@ def _facts(spark, keys):
     ).repartition(3)
 
 
-def test_a_grid_is_shuffled_once_per_input(spark):
-    """Keys (twice: distinct, placing) and facts are shuffled; the days made from them are not."""
+@pytest.fixture
+def no_broadcast(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        facts = _facts(spark, I.SERIES)
-        grid = series.densify(facts, I.SERIES, d("2024-01-01"), d("2024-03-01"), facts)
-        ahead = series.future_flag(grid, I.SERIES, "date", "flag", [7, 14, 21, 28])
-        filled = series.forward_fill(ahead, I.SERIES, "date", "flag")
-        above = plan(filled).split("Generate explode")[0]
-        # Above the exploded days the only exchange is that of the facts joined to them.
-        assert above.count("Exchange") == 0
-        assert plan(filled).count("Exchange hashpartitioning") == 3
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-
-
-def test_the_training_set_moves_no_row_of_the_spine(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        lo, hi = d("2024-01-01"), d("2024-03-01")
-        facts = _facts(spark, I.SERIES)
-        spine = series.densify(facts, I.SERIES, lo, hi)
-        lines = spark.createDataFrame(
-            [],
-            "product_id string, ordering_region string, brand string, date_placed date,"
-            " date_shipped_from_vendor date, last_rec_date date, ordered_quantity bigint,"
-            " received_quantity bigint, failed_fills int, lead_time int",
-        )
-        text = plan(training_set(spine, lines, lo, hi))
-        first_generate = text.index("Generate explode")
-        assert "Exchange" not in text[:first_generate]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    yield
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_grid_is_never_shuffled(spark, no_broadcast):
+    """Keys and facts are; the days made from them are not, whatever windows follow."""
+    facts = _facts(spark, I.SERIES)
+    grid = series.densify(facts, I.SERIES, d("2024-01-01"), d("2024-03-01"), facts)
+    ahead = series.future_flag(grid, I.SERIES, "date", "flag", [7, 14, 21, 28])
+    text = plan(series.forward_fill(ahead, I.SERIES, "date", "flag"))
+    assert "Exchange" not in text.split("Generate explode")[0]
+    assert "Join" not in text
+
+
+def test_the_training_set_moves_no_row_of_its_grid(spark, no_broadcast):
+    lo, hi = d("2024-01-01"), d("2024-03-01")
+    series_columns = "product_id string, ordering_region string"
+    facts = spark.createDataFrame(
+        [],
+        f"{series_columns}, date date, available_fba bigint, available_fbm bigint",
+    )
+    forecast = spark.createDataFrame(
+        [], f"{series_columns}, start_forecast_dt date, ds_forecast bigint"
+    )
+    lines = spark.createDataFrame(
+        [],
+        f"{series_columns}, brand string, date_placed date, date_shipped_from_vendor date,"
+        " last_rec_date date, ordered_quantity bigint, received_quantity bigint,"
+        " failed_fills int, lead_time int",
+    )
+    text = plan(training_set(facts, forecast, facts, lines, lo, hi))
+    # The first Generate from the top is the one that makes the days.
+    assert "Exchange" not in text.split("Generate explode(sequence")[0]
 
 
 def test_text_does_not_make_inventory_sort_before_adding_up(spark):
     text = plan(QUERIES["inventory_per_day"].run(spark, FOLDER))
     union = text.index("Union")
     assert "HashAggregate" in text[:union].split("\n")[-2]
+
+
+def test_a_hot_key_is_split_even_below_an_aggregate_on_it(spark, no_broadcast):
+    """A third of the rows have one key; the join is followed by grouping on that key."""
+    small = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB",
+    }
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        fact = spark.range(0, 60_000, 1, 8).select(
+            F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("k"),
+            F.sha2(F.col("id").cast("string"), 256).alias("v"),
+        )
+        dim = spark.range(0, 60_000).select(F.col("id").alias("k"), F.lit(1).alias("w"))
+        joined = fact.join(dim, "k", "left").groupBy("k").agg(F.max("v").alias("v"), F.sum("w").alias("n"))
+        totals = joined.agg(F.sum("n").alias("n"), F.count("*").alias("keys"))
+        assert tuple(joined.where("k = 0").select("n").first()) == (20_000,)
+        assert tuple(totals.first()) == (60_000, 40_001)
+        joined.collect()
+        assert "skew=true" in plan(joined)
+    finally:
+        for key in small:
+            spark.conf.unset(key)
