@@ -142,7 +142,7 @@ def run_table(t: Tables) -> DataFrame:
 
 @query(
     "L10",
-    f"""{RUNS} SELECT job, run_id, {at('started_at')} AS started_at, recency FROM (
+    f"""{RUNS} SELECT job, run_id, {at('started_at')} AS started_at, CAST(recency AS int) AS recency FROM (
       SELECT *, row_number() OVER (PARTITION BY job ORDER BY started_at DESC NULLS LAST, run_id DESC) AS recency FROM run)
     WHERE recency <= 3""",
 )
@@ -301,7 +301,7 @@ def code_of_each_job(t: Tables) -> DataFrame:
     """WITH RECURSIVE up AS (
       SELECT p_partkey AS label, p_partkey AS node, 0 AS depth FROM part
       UNION ALL SELECT label, node // 2, depth + 1 FROM up WHERE node > 0)
-    SELECT label, node, depth FROM up""",
+    SELECT label, node, CAST(depth AS bigint) AS depth FROM up""",
 )
 def all_that_a_part_is_made_from(t: Tables) -> DataFrame:
     key = F.col("p_partkey")
@@ -316,7 +316,7 @@ def all_that_a_part_is_made_from(t: Tables) -> DataFrame:
       SELECT DISTINCT CASE mode WHEN 'read' THEN 'dataset:sales:' || name ELSE 'job:sales:' || job END AS src,
         CASE mode WHEN 'read' THEN 'job:sales:' || job ELSE 'dataset:sales:' || name END AS dst FROM touched),
     start AS (SELECT DISTINCT src AS node FROM e WHERE src LIKE 'dataset:%')
-    SELECT node AS label, node, 0 AS depth FROM start
+    SELECT node AS label, node, CAST(0 AS bigint) AS depth FROM start
     UNION ALL SELECT DISTINCT node, dst, 1 FROM start JOIN e ON src = node
     UNION ALL SELECT DISTINCT node, b.dst, 2 FROM start JOIN e a ON a.src = node JOIN e b ON b.src = a.dst""",
 )
@@ -346,7 +346,7 @@ def column_edges(t: Tables) -> DataFrame:
       SELECT in_table AS source, out_table AS node, dst, 1 AS depth FROM e WHERE in_table LIKE 'raw.%'
       UNION SELECT source, out_table, e.dst, depth + 1 FROM reach JOIN e ON e.in_table = node AND e.out_table <> node),
     least AS (SELECT source, node, dst, min(depth) AS depth FROM reach GROUP BY ALL)
-    SELECT source || '.rate' AS source, node || '.rate' AS final, depth FROM least
+    SELECT source || '.rate' AS source, node || '.rate' AS final, CAST(depth AS bigint) AS depth FROM least
     WHERE dst NOT IN (SELECT p_partkey // 2 FROM part WHERE p_partkey <> p_partkey // 2)""",
 )
 def final_columns_of_each_source(t: Tables) -> DataFrame:

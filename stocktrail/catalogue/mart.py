@@ -351,8 +351,8 @@ rolled AS (SELECT *, CAST(sum(rates) {_W} AS double) / sum(n_rates) {_W} / 10000
   FROM po_grid LEFT JOIN by_receipt USING (product_id, ordering_region, brand, date)
     LEFT JOIN by_placing USING (product_id, ordering_region, brand, date)),
 day AS (SELECT CAST(x AS DATE) AS date FROM {_days_sql(LO)}),
-oldest AS (SELECT product_id, ordering_region, date, date_diff('day', min(date_placed), date) AS age,
-    date_diff('day', min(CASE WHEN date_shipped_from_vendor IS NOT NULL THEN date_placed END), date) AS shipped_age
+oldest AS (SELECT product_id, ordering_region, date, CAST(date_diff('day', min(date_placed), date) AS int) AS age,
+    CAST(date_diff('day', min(CASE WHEN date_shipped_from_vendor IS NOT NULL THEN date_placed END), date) AS int) AS shipped_age
   FROM day JOIN po ON date_placed <= date AND (last_rec_date > date OR last_rec_date IS NULL) GROUP BY 1, 2, 3)"""
 
 

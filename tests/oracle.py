@@ -52,3 +52,22 @@ def compare(df, con, sql: str) -> str | None:
         f"{sorted(columns)}: {got.total()} rows, {want.total()} expected; "
         f"{extra.total()} extra {list(extra)[:3]}, {missing.total()} missing {list(missing)[:3]}"
     )
+
+
+# Types that hold the same values in both.
+SAME_TYPE = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "string": "VARCHAR",
+    "double": "DOUBLE",
+    "boolean": "BOOLEAN",
+}
+
+
+def types_differ(df, con, sql: str) -> list[str]:
+    theirs = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
+    return [
+        f"{f.name}: {f.dataType.simpleString()} is {theirs.get(f.name)}"
+        for f in df.schema.fields
+        if SAME_TYPE.get(f.dataType.simpleString()) != theirs.get(f.name)
+    ]

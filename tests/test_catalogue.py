@@ -6,7 +6,7 @@ import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
 from stocktrail.catalogue import QUERIES
-from tests.oracle import compare, connect
+from tests.oracle import compare, connect, types_differ
 
 FOLDER = "/root/testdata/sf0.001"
 
@@ -20,7 +20,9 @@ def con():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_agrees_with_sql(spark, con, name):
-    assert compare(queries()[name](spark, FOLDER), con, oracle_sql()[name]) is None
+    df, sql = queries()[name](spark, FOLDER), oracle_sql()[name]
+    assert types_differ(df, con, sql) == []
+    assert compare(df, con, sql) is None
 
 
 def test_every_query_has_rows(spark):
