@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stocktrail.plans.standins import Tables
-from stocktrail.session import configure
+from stocktrail.session import configure, folder_bytes
 
 
 @dataclass(frozen=True)
@@ -19,7 +19,8 @@ class Query:
     sql: str | None
 
     def run(self, spark: SparkSession, folder: str) -> DataFrame:
-        return present(self.build(Tables(configure(spark), folder)))
+        configure(spark, folder_bytes(spark, folder))
+        return present(self.build(Tables(spark, folder)))
 
 
 QUERIES: dict[str, Query] = {}

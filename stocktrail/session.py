@@ -13,17 +13,35 @@ RUNTIME_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # A join that feeds an aggregate on the same key would otherwise keep its hot partition whole.
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Stream state on the executors' disks; the heap would bound how many runs may be open.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
+INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
+BYTES_PER_PARTITION = 256 * 1024 * 1024
 
-def configure(spark: SparkSession) -> SparkSession:
+
+def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
+    """Set what the jobs rely on, and the number of shuffle partitions to start from.
+
+    Adaptive execution merges small partitions but never makes more, so the start must suit the
+    input: a partition per 256 MB of it, and no less than the session asks for.
+    """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
+    wanted = -(-input_bytes // BYTES_PER_PARTITION)
+    asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.conf.set(INITIAL_PARTITIONS, str(max(wanted, asked)))
     return spark
 
 
-def shuffle_partitions(spark: SparkSession) -> int:
-    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    """Size of all files below a folder, from the file system's own summary."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getContentSummary(path).getLength()
 
 
 def scratch_root(spark: SparkSession) -> str:
