@@ -127,6 +127,35 @@ def output_statistics(t: Tables) -> DataFrame:
     return U.output_stats(t.part)
 
 
+@query(
+    "L7 L8 D9 D10",
+    f"""{TOUCHES}, n AS (SELECT l_orderkey, count(*) AS n_lines FROM lineitem GROUP BY 1)
+    SELECT run_id, t AS "eventType", mode, name, n_lines FROM touched JOIN n USING (l_orderkey)""",
+)
+def statistics_told_by_events(t: Tables) -> DataFrame:
+    def side(column: str, mode: str, told: str, key: str) -> Column:
+        return F.transform(
+            column,
+            lambda x: F.struct(
+                F.lit(mode).alias("mode"), x["name"].alias("name"), x[told][key].alias("json")
+            ),
+        )
+
+    both = F.concat(
+        side("inputs", "read", "inputFacets", "dataQuality"),
+        side("outputs", "write", "outputFacets", "outputStatistics"),
+    )
+    return _steps(t).select(
+        F.col("run.runId").alias("run_id"), "eventType", F.inline(both)
+    ).select(
+        "run_id",
+        "eventType",
+        "mode",
+        "name",
+        F.get_json_object("json", "$.rowCount").cast("bigint").alias("n_lines"),
+    )
+
+
 # Runs
 
 

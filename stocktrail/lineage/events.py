@@ -27,17 +27,33 @@ _OPTIONAL = {
 }
 
 
-def dataset(namespace, name, fields: Column | None = None) -> Column:
-    """An input or output dataset; ``fields`` is its schema, an array of name/type/description."""
+def dataset(
+    namespace, name, fields: Column | None = None, told: dict[str, Column] | None = None
+) -> Column:
+    """An input or output of a run; ``fields`` is its schema, an array of name/type/description.
+
+    ``told`` are structs said of it in this run, kept as JSON under their names.
+    """
     schema = F.lit(None) if fields is None else F.struct(F.struct(fields.alias("fields")).alias("s"))
+    entries = [c for key, value in (told or {}).items() for c in (F.lit(key), F.to_json(value))]
     return F.struct(
         _column(namespace).alias("namespace"),
         _column(name).alias("name"),
         schema.cast(DATASET["facets"].dataType).alias("facets"),
-        F.lit(None).cast("map<string,string>").alias("inputFacets"),
+        (F.create_map(*entries) if entries else F.lit(None).cast("map<string,string>")).alias("told"),
     )
 
 
+def input_dataset(namespace, name, quality: Column, fields: Column | None = None) -> Column:
+    """An input with what is known of its data, a struct such as one of ``upkeep.profile``."""
+    return dataset(namespace, name, fields, {"dataQuality": quality})
+
+
+def output_dataset(namespace, name, stats: Column, fields: Column | None = None) -> Column:
+    """An output with its size, under both names in use; see ``upkeep.output_stats``."""
+    return dataset(namespace, name, fields, {"stats": stats, "outputStatistics": stats})
+
+
 def schema_fields(df: DataFrame) -> Column:
     """The schema facet of a table, as a literal array."""
     return F.array(

@@ -5,12 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
-def retain(events: DataFrame, now, days: int = 7, time: str = "eventTime") -> DataFrame:
+def retain(
+    events: DataFrame, now, days: int = 7, time: str = "eventTime", period: str = "day"
+) -> DataFrame:
     """Events of the last ``days`` days before ``now``.
 
-    With the log stored by date (``write_by_date``) a filter on event_date besides reads only those.
+    Of a log stored by date (``write_by_date``, of the same period) only the kept dates are read.
     """
-    return events.where(F.col(time) >= F.lit(now) - F.make_dt_interval(F.lit(days)))
+    since = F.lit(now) - F.make_dt_interval(F.lit(days))
+    if "event_date" in events.columns:
+        events = events.where(F.col("event_date") >= F.to_date(F.date_trunc(period, since)))
+    return events.where(F.col(time) >= since)
 
 
 def by_date(

@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stocktrail.functions.scalars import cents, dotted, shift
-from stocktrail.lineage.events import dataset, step_events, to_events
+from stocktrail.lineage.events import input_dataset, output_dataset, step_events, to_events
 from stocktrail.sources.tables import load, window_bounds
 
 AS_OF = dt.date(2001, 8, 1)
@@ -376,6 +376,7 @@ def _line_sets(t: Tables, keys: list[str]) -> DataFrame:
         .agg(
             F.sort_array(F.collect_set("p_brand")).alias("brands"),
             F.sort_array(F.collect_set("s_nationkey")).alias("nations"),
+            F.count("*").alias("n_lines"),
         )
     )
 
@@ -383,17 +384,21 @@ def _line_sets(t: Tables, keys: list[str]) -> DataFrame:
 def _with_datasets(runs: DataFrame) -> DataFrame:
     late = F.col("o_orderdate") >= F.lit(dt.date(1998, 1, 1)).cast("timestamp_ntz")
     none = F.array().cast("array<string>")
+    lines = F.struct(F.col("n_lines").alias("rowCount"))
     return runs.withColumns(
         {
             "inputs": F.transform(
                 F.coalesce("brands", none),
-                lambda b: dataset(F.lit(NAMESPACE), F.concat(F.lit("raw."), F.lower(b))),
+                lambda b: input_dataset(
+                    F.lit(NAMESPACE), F.concat(F.lit("raw."), F.lower(b)), lines
+                ),
             ),
             "outputs": F.transform(
                 F.coalesce("nations", F.array().cast("array<int>")),
-                lambda n: dataset(
+                lambda n: output_dataset(
                     F.lit(NAMESPACE),
                     F.concat(F.lit("mart.nation_"), n.cast("string")),
+                    lines,
                     _read_schema(late),
                 ),
             ),

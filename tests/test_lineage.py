@@ -179,7 +179,31 @@ def test_retention_and_writing_by_date(spark, tmp_path):
     U.write_by_date(events, str(tmp_path / "log"))
     log = spark.read.parquet(str(tmp_path / "log"))
     assert log.count() == 17
-    assert U.retain(log, F.lit(T0), 7).count() == 16
+    kept = U.retain(log, F.lit(T0), 7)
+    assert kept.count() == 16
+    scan = kept._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(event_date" in scan
+
+
+def test_retention_of_a_log_by_month(spark, tmp_path):
+    events = _flow(spark)
+    U.write_by_date(events, str(tmp_path / "log"), period="month")
+    log = spark.read.parquet(str(tmp_path / "log"))
+    assert U.retain(log, F.lit(at(30)), 7, period="month").count() == 16
+
+
+def test_facets_of_inputs_and_outputs(spark):
+    runs = spark.createDataFrame([("a", T0)], "run_id string, started_at timestamp").withColumns(
+        {
+            "namespace": F.lit("ns"),
+            "job": F.lit("j"),
+            "inputs": F.array(E.input_dataset(F.lit("ns"), F.lit("i"), F.struct(F.lit(3).alias("rowCount")))),
+            "outputs": F.array(E.output_dataset(F.lit("ns"), F.lit("o"), F.struct(F.lit(5).alias("size")))),
+        }
+    )
+    event = E.to_events(runs).first()
+    assert event.inputs[0].inputFacets == {"dataQuality": '{"rowCount":3}'}
+    assert event.outputs[0].outputFacets == {"stats": '{"size":5}', "outputStatistics": '{"size":5}'}
 
 
 def test_search_ranks_by_hits(spark):
