@@ -20,23 +20,37 @@ RUNTIME_CONF = {
 }
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-BYTES_PER_PARTITION = 256 * 1024 * 1024
+SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
+
+MB = 1024 * 1024
+SHUFFLED_BYTES = 256 * MB
+SCANNED_BYTES = 128 * MB
+# The driver keeps a record of each map task's output for each partition, so neither may grow
+# with the input for ever; beyond these numbers the tasks get larger and spill.
+MOST_PARTITIONS = 20_000
+MOST_SCAN_TASKS = 100_000
 
 
 def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
-    """Set what the jobs rely on, and the number of shuffle partitions to start from.
+    """Set what the jobs rely on, and the sizes of tasks for the size of the input.
 
-    Adaptive execution merges small partitions but never makes more, so the start must suit the
-    input: a partition per 256 MB of it, and no less than the session asks for.
+    Adaptive execution merges small shuffle partitions but never makes more, so the number it
+    starts from must suit the input: one per 256 MB, and no less than the session asks for.
     """
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
-    wanted = -(-input_bytes // BYTES_PER_PARTITION)
+    wanted = min(-(-input_bytes // SHUFFLED_BYTES), MOST_PARTITIONS)
     asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
     spark.conf.set(INITIAL_PARTITIONS, str(max(wanted, asked)))
+    spark.conf.set(SCAN_BYTES, str(max(SCANNED_BYTES, -(-input_bytes // MOST_SCAN_TASKS))))
     return spark
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """The number of partitions a shuffle starts from."""
+    return int(spark.conf.get(INITIAL_PARTITIONS, spark.conf.get("spark.sql.shuffle.partitions")))
+
+
 def folder_bytes(spark: SparkSession, folder: str) -> int:
     """Size of all files below a folder, from the file system's own summary."""
     path = spark._jvm.org.apache.hadoop.fs.Path(folder)

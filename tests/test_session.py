@@ -6,8 +6,12 @@ from tests.conftest import rows
 
 def test_shuffles_start_from_the_size_of_the_input(spark):
     try:
-        session.configure(spark, 10 * 2**40)
-        assert spark.conf.get(session.INITIAL_PARTITIONS) == "40960"
+        session.configure(spark, 2**40)
+        assert session.shuffle_partitions(spark) == 4096
+        assert spark.conf.get(session.SCAN_BYTES) == str(128 * 2**20)
+        session.configure(spark, 100 * 2**40)
+        assert session.shuffle_partitions(spark) == 20_000
+        assert int(spark.conf.get(session.SCAN_BYTES)) > 2**30
     finally:
         session.configure(spark)
     assert spark.conf.get(session.INITIAL_PARTITIONS) == spark.conf.get("spark.sql.shuffle.partitions")
