@@ -192,40 +192,84 @@ def _verify(rule: Jaccard):
     return run
 
 
-def _links(rule: Jaccard, docs: DataFrame, sizes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """The linked of the candidate pairs (a > b), on whole texts."""
-    small, large = F.least("n_a", "n_b"), F.greatest("n_a", "n_b")
-    n = sizes.where("doc_id is not null").groupBy("doc_id").agg(
-        F.min("n_shingles").alias("n"), F.max("n_shingles").alias("n_max")
-    )
-    fit = (
-        pairs.join(n.select(F.col("doc_id").alias("a"), F.col("n").alias("n_a"), F.col("n_max").alias("x_a")), "a")
-        .join(n.select(F.col("doc_id").alias("b"), F.col("n").alias("n_b"), F.col("n_max").alias("x_b")), "b")
-        # An id that stands for several texts goes by whichever of them fits.
-        .where((rule.den * small >= rule.num * large) | (F.col("n_a") != F.col("x_a")) | (F.col("n_b") != F.col("x_b")))
-        .select("a", "b")
-    )
-    fit = written(fit, "pairs")
-    asked = fit.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    bit = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_WORDS * 64))
-    word = F.shiftright(bit, 6).alias("word")
-    # At most FILTER_WORDS rows of two numbers: a filter of fixed size before the exact join.
-    bits = asked.groupBy(word).agg(
-        F.expr("bit_or(shiftleft(1L, cast(pmod(pmod(xxhash64(doc_id), %d), 64) as int)))" % (FILTER_WORDS * 64)).alias("bits")
-    )
-    likely = (
-        docs.select("doc_id", "text")
-        .withColumn("word", word)
+def _sketches(rule: Jaccard):
+    """Rows (doc_id, text) to (doc_id, n, sketch): how many shingles fall in each of as many
+    buckets as half the set's size, by the low bits of their hashes."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch.column(1)):
+                n, sketch = [], []
+                for s in shingles(part, rule.words):
+                    buckets = 1 << max(4, _band(max(1, int(s.size))) - 1)
+                    each = np.bincount((s & U64(buckets - 1)).astype(np.int64), minlength=buckets)
+                    n.append(s.size)
+                    sketch.append(each.astype(np.uint8).tobytes() if each.max() < 256 else b"")
+                yield pa.record_batch(
+                    [
+                        batch.column(0).slice(part.first, part.n),
+                        pa.array(n, pa.int64()),
+                        pa.array(sketch, pa.binary()),
+                    ],
+                    names=["doc_id", "n", "sketch"],
+                )
+
+    return run
+
+
+def _apart(rule: Jaccard, n_a: int, n_b: int, a: bytes, b: bytes) -> bool:
+    """Whether sizes and bucket counts alone show that two sets are too far from each other: the
+    differences of the counts add up to the sets' distance at most."""
+    if rule.den * min(n_a, n_b) < rule.num * max(n_a, n_b):
+        return True
+    if not a or not b:
+        return False
+    x, y = np.frombuffer(a, np.uint8).astype(np.int16), np.frombuffer(b, np.uint8).astype(np.int16)
+    least = min(x.size, y.size)
+    x, y = x.reshape(-1, least).sum(axis=0), y.reshape(-1, least).sum(axis=0)
+    return int(np.abs(x - y).sum()) > rule.distance(n_a, n_b)
+
+
+def _near(rule: Jaccard):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = [batch.column(k).to_pylist() for k in range(2, 6)]
+            keep = [not _apart(rule, *row) for row in zip(*columns)]
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
+
+    return run
+
+
+def _rows_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The documents named in ``pairs``, and few others, without moving a text: a filter of
+    FILTER_WORDS rows of two numbers at most, which is what is broadcast whatever the corpus. It
+    only spares work; where it fills up, more rows come through, to no effect on the joins."""
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_WORDS * 64))
+    bit = F.pmod(place, F.lit(64)).cast("int")
+    asked = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+    one = F.call_function("shiftleft", F.lit(1).cast("long"), bit)
+    bits = asked.groupBy(F.shiftright(place, 6).alias("word")).agg(F.bit_or(one).alias("bits"))
+    return (
+        docs.withColumn("word", F.shiftright(place, 6))
         .join(F.broadcast(bits), "word")
-        .where(
-            F.expr("getbit(bits, cast(pmod(pmod(xxhash64(doc_id), %d), 64) as int)) = 1" % (FILTER_WORDS * 64))
-        )
+        .where(F.getbit("bits", bit) == 1)
         .select("doc_id", "text")
     )
-    texts = written(likely.join(asked, "doc_id", "left_semi"), "candidate-texts")
+
+
+def _links(rule: Jaccard, docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The linked of the candidate pairs (a > b): by sketches first, then on whole texts."""
+    kinds = "doc_id long, n long, sketch binary"
+    sketches = written(_rows_of(docs, pairs).mapInArrow(_sketches(rule), kinds), "sketches")
+    a = sketches.toDF("a", "n_a", "sketch_a")
+    b = sketches.toDF("b", "n_b", "sketch_b")
+    sides = ["a", "b", "n_a", "n_b", "sketch_a", "sketch_b"]
+    near = pairs.join(b, "b").join(a, "a").select(*sides).mapInArrow(_near(rule), "a long, b long")
+    near = written(near.distinct(), "near-pairs")
+    texts = written(_rows_of(docs, near), "candidate-texts")
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
-    rows = fit.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
+    rows = near.join(b, "b").join(a, "a").select("a", "b", "text_a", "text_b")
     return written(rows.mapInArrow(_verify(rule), "a long, b long"), "verified")
 
 
@@ -263,8 +307,18 @@ def jaccard_components(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
     shared = written(
         keys.withColumn("least", F.first("doc").over(by_key)).where("doc != least"), "shared-keys"
     )
+    # An id that stands for several texts has several sizes.
+    n = sizes.where("doc_id is not null").groupBy("doc_id").agg(
+        F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high")
+    )
+    n_a = n.toDF("a", "low_a", "high_a")
+    n_b = n.toDF("b", "low_b", "high_b")
+    fits = F.expr(
+        f"{rule.den} * high_a >= {rule.num} * low_b and {rule.den} * high_b >= {rule.num} * low_a"
+    )
     stars = shared.select(F.col("doc").alias("a"), F.col("least").alias("b")).distinct()
-    links = _links(rule, docs, sizes, stars)
+    stars = written(stars.join(n_a, "a").join(n_b, "b").where(fits).select("a", "b"), "stars")
+    links = _links(rule, docs, stars)
     found = written(components(links), "components")
 
     label = found.select(F.col("id").alias("doc"), "component")
@@ -273,7 +327,8 @@ def jaccard_components(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
         .unionAll(shared.select("key", F.col("least").alias("doc")))
         .distinct()
         .join(label, "doc", "left")
-        .select("key", "doc", F.coalesce("component", "doc").alias("component"))
+        .join(n.withColumnRenamed("doc_id", "doc"), "doc")
+        .select("key", "doc", F.coalesce("component", "doc").alias("component"), "low", "high")
     )
     members = written(members, "members")
     split = (
@@ -283,16 +338,16 @@ def jaccard_components(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
         .select("key")
     )
     open_keys = written(members.join(split, "key", "left_semi"), "open-keys")
-    x = open_keys.select("key", F.col("doc").alias("a"), F.col("component").alias("component_a"))
-    y = open_keys.select("key", F.col("doc").alias("b"), F.col("component").alias("component_b"))
+    x = open_keys.toDF("key", "a", "component_a", "low_a", "high_a")
+    y = open_keys.toDF("key", "b", "component_b", "low_b", "high_b")
     across = (
         x.join(y, "key")
-        .where("a > b and component_a != component_b")
+        .where(F.expr("a > b and component_a != component_b") & fits)
         .select("a", "b")
         .distinct()
         .join(stars, ["a", "b"], "left_anti")
     )
-    more = _links(rule, docs, sizes, across)
+    more = _links(rule, docs, written(across, "across"))
     found = components(links.unionAll(more))
     return sizes.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")

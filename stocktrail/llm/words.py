@@ -28,6 +28,12 @@ _BYTE = _odd(256)
 _BYTE[65:91] = _BYTE[97:123]  # A-Z as a-z
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
+#: Kinds of bytes: ASCII letters, digits, all else in ASCII; 0 is space and what is not ASCII.
+_KIND = np.zeros(256, dtype=np.uint8)
+_KIND[:128] = 3
+_KIND[[*range(65, 91), *range(97, 123)]] = 1
+_KIND[48:58] = 2
+_KIND[_SPACE] = 0
 #: Multipliers that bind words to their places in a window.
 PLACES = _odd(64)
 #: Texts are worked on in slices of about so many bytes, which stay in a CPU's cache.
@@ -103,8 +109,10 @@ def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
     return b, o
 
 
-def slices(column: pa.Array | pa.ChunkedArray) -> Iterator[Slice]:
-    """All words of a text column, some texts at a time."""
+def slices(column: pa.Array | pa.ChunkedArray, parts: bool = False) -> Iterator[Slice]:
+    """All words of a text column, some texts at a time; or parts of words, which also end where
+    ASCII letters, digits and other ASCII characters meet, but not behind an apostrophe nor at a
+    vertical bar."""
     if len(column) == 0:
         return
     data, offsets = text_buffers(column)
@@ -112,11 +120,11 @@ def slices(column: pa.Array | pa.ChunkedArray) -> Iterator[Slice]:
     while first < len(column):
         stop = int(np.searchsorted(offsets, offsets[first] + SLICE_BYTES, "right")) - 1
         stop = min(max(stop, first + 1), len(column))
-        yield _words(data[offsets[first] : offsets[stop]], offsets[first : stop + 1], first)
+        yield _words(data[offsets[first] : offsets[stop]], offsets[first : stop + 1], first, parts)
         first = stop
 
 
-def _words(data: np.ndarray, offsets: np.ndarray, first: int) -> Slice:
+def _words(data: np.ndarray, offsets: np.ndarray, first: int, parts: bool) -> Slice:
     edges = offsets - offsets[0]
     n = len(data)
     space = _SPACE[data]
@@ -128,6 +136,12 @@ def _words(data: np.ndarray, offsets: np.ndarray, first: int) -> Slice:
     inner = inner[(inner > 0) & (inner < n)]
     begins[inner] = ~space[inner]
     ends[inner - 1] = ~space[inner - 1]
+    if parts:
+        kind, before = _KIND[data], data[:-1]
+        meet = (kind[1:] != kind[:-1]) & (kind[1:] > 0) & (kind[:-1] > 0)
+        meet &= (before != ord("'")) & (before != ord("|")) & (data[1:] != ord("|"))
+        begins[1:] |= meet
+        ends[:-1] |= meet
     starts, stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
     with np.errstate(over="ignore"):
         sums = np.zeros(n + 1, dtype=np.uint64)
