@@ -7,8 +7,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from stocktrail.llm import elias_fano, exact_dedup, mixing, outliers, packing
 from stocktrail.llm.shingle_join import jaccard_components
 
+TOKENIZER = "word_bpe_49k.json"
+#: Appended to each document's ids.
+END_ID = 1
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -38,6 +43,47 @@ def _table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    """Where a public tokenizer's vocabulary lies; it is never copied here."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@register()
+def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(_table(spark, folder, "documents"))
+
+
+@register()
+def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    return elias_fano.token_table(_table(spark, folder, "documents"), tokenizer_path(), END_ID)
+
+
+@register()
+def op5_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(_table(spark, folder, "documents"), tokenizer_path(), END_ID)
+
+
+@register(
+    """
+    SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
+           doc_id = max(doc_id) OVER w AS kept, text_sha256
+    FROM (SELECT doc_id, sha256(translate(coalesce(text, ''),
+                 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')) AS text_sha256
+          FROM documents)
+    WINDOW w AS (PARTITION BY text_sha256)
+    """
+)
+def op8_exact_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    return exact_dedup.exact_duplicates(_table(spark, folder, "documents"))
+
+
 @register()
 def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard_components(_table(spark, folder, "documents"))
+
+
+@register()
+def op10_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
+    return outliers.quality(_table(spark, folder, "documents"))

@@ -16,60 +16,83 @@ from tokenizers import Tokenizer
 
 from stocktrail.llm.words import Slice, slices
 
-#: Parts and ids remembered at most; then all are let go and learnt again.
-MOST_PARTS, MOST_IDS = 400_000, 4_000_000
+#: Places of the table of parts (a power of two), a quarter of which is filled at most, and ids
+#: remembered at most; then all are let go and learnt again.
+PLACES, MOST_IDS = 1 << 22, 8_000_000
+#: Places next to its own in which a part may lie.
+PROBES = 16
 
 
 class Encoder:
-    """Ids by part, in one pool of numbers."""
+    """Ids by part: a table of hashes with open addressing, and one pool of ids."""
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
         self._forget()
 
     def _forget(self) -> None:
-        self.slot: dict[int, int] = {}
-        self.used = 0
-        self.pool = np.zeros(1 << 16, dtype=np.uint32)
-        self.at = np.zeros(1 << 16, dtype=np.int64)
-        self.n = np.zeros(1 << 16, dtype=np.int64)
-
-    def _encode(self, part: bytes) -> list[int]:
-        if part.isalpha():  # ASCII letters only: one piece, in the model's own alphabet
-            return [t.id for t in self.model.tokenize(part.lower().decode())]
-        return self.tokenizer.encode(part.decode(), add_special_tokens=False).ids
-
-    def _learn(self, key: int, part: bytes) -> int:
-        ids, slot = self._encode(part), len(self.slot)
-        if self.used + len(ids) > len(self.pool):
-            self.pool = np.concatenate([self.pool, np.zeros(len(self.pool) + len(ids), np.uint32)])
-        if slot >= len(self.at):
-            self.at = np.concatenate([self.at, np.zeros_like(self.at)])
-            self.n = np.concatenate([self.n, np.zeros_like(self.n)])
-        self.pool[self.used : self.used + len(ids)] = ids
-        self.at[slot], self.n[slot] = self.used, len(ids)
-        self.used += len(ids)
-        self.slot[key] = slot
-        return slot
+        self.key = np.zeros(PLACES + PROBES, dtype=np.uint64)
+        self.slot = np.zeros(PLACES + PROBES, dtype=np.int32)
+        self.pool = np.zeros(0, dtype=np.uint32)
+        self.at = np.zeros(0, dtype=np.int64)
+        self.n = np.zeros(0, dtype=np.int64)
+
+    def _find(self, keys: np.ndarray) -> np.ndarray:
+        """Slot of each key, -1 where it is not known."""
+        place = (keys & np.uint64(PLACES - 1)).astype(np.int64)
+        there = self.key[place]
+        slots = np.where(there == keys, self.slot[place], np.int32(-1))
+        left = np.flatnonzero((there != keys) & (there != 0))
+        for step in range(1, PROBES):
+            if not left.size:
+                break
+            there = self.key[place[left] + step]
+            same = there == keys[left]
+            slots[left[same]] = self.slot[place[left[same]] + step]
+            left = left[~same & (there != 0)]
+        return slots
+
+    def _learn(self, keys: np.ndarray, parts: list[str]) -> None:
+        """Encode new parts in one call, apart by spaces, and remember them."""
+        starts = np.cumsum([0] + [len(p) + 1 for p in parts[:-1]])
+        found = self.tokenizer.encode(" ".join(parts), add_special_tokens=False)
+        at = np.array([o[0] for o in found.offsets], dtype=np.int64)
+        n = np.bincount(np.searchsorted(starts, at, "right") - 1, minlength=len(parts))
+        first = len(self.n)
+        self.at = np.concatenate([self.at, len(self.pool) + np.cumsum(n) - n])
+        self.n = np.concatenate([self.n, n])
+        self.pool = np.concatenate([self.pool, np.array(found.ids, dtype=np.uint32)])
+        new = np.arange(first, len(self.n), dtype=np.int32)
+        place = (keys & np.uint64(PLACES - 1)).astype(np.int64)
+        for _ in range(PROBES):
+            # Of several keys that ask for one free place, one gets it; the others go on.
+            free = np.flatnonzero(self.key[place] == 0)
+            self.key[place[free]] = keys[free]
+            self.slot[place[free]] = new[free]
+            got = np.flatnonzero(self.key[place] != keys)
+            if not got.size:
+                return
+            keys, new, place = keys[got], new[got], place[got] + 1
+        raise OverflowError("no place near")  # not with a quarter of them filled
 
     def ids(self, words: Slice) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts of the slice, where each text's begin and the last one's end)."""
-        if len(self.slot) > MOST_PARTS or self.used > MOST_IDS:
+        if len(self.n) > PLACES // 4 or len(self.pool) > MOST_IDS:
             self._forget()
-        keys, one, which = np.unique(words.hashes, return_index=True, return_inverse=True)
-        slots = np.empty(len(keys), dtype=np.int64)
-        get, data = self.slot.get, words.data
-        for i, key in enumerate(keys.tolist()):
-            slot = get(key)
-            if slot is None:
-                w = one[i]
-                slot = self._learn(key, data[words.starts[w] : words.stops[w]].tobytes())
-            slots[i] = slot
-        n = self.n[slots][which]
+        keys = words.hashes | np.uint64(1) << np.uint64(63)  # 0 is a free place
+        slots = self._find(keys)
+        unknown = np.flatnonzero(slots < 0)
+        if unknown.size:
+            new, one = np.unique(keys[unknown], return_index=True)
+            data = words.data.tobytes()
+            spans = zip(words.starts[unknown[one]].tolist(), words.stops[unknown[one]].tolist())
+            self._learn(new, [data[a:b].decode() for a, b in spans])
+            slots[unknown] = self._find(keys[unknown])
+        n = self.n[slots]
         stop = np.cumsum(n)
         total = int(stop[-1]) if len(stop) else 0
-        place = np.repeat(self.at[slots][which] - (stop - n), n) + np.arange(total)
+        place = np.repeat(self.at[slots] - (stop - n), n)
+        place += np.arange(total)
         return self.pool[place], np.concatenate([[0], stop])[words.ends]
 
 
