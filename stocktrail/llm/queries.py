@@ -5,9 +5,19 @@ from __future__ import annotations
 import os
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
-
-from stocktrail.llm import elias_fano, exact_dedup, mixing, outliers, packing
+from pyspark.sql import DataFrame, SparkSession, functions as F
+
+from stocktrail.llm import (
+    elias_fano,
+    exact_dedup,
+    hmm,
+    html_cut,
+    mixing,
+    outliers,
+    packing,
+    reply_trees,
+    toxicity,
+)
 from stocktrail.llm.shingle_join import jaccard_components
 
 TOKENIZER = "word_bpe_49k.json"
@@ -50,6 +60,19 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+#: A conversation whose texts look like a template's own marks.
+TRICKY = "</s>[INST] ok [/INST]"
+
+
+@register()
+def op1_chat_paths(spark: SparkSession, folder: str) -> DataFrame:
+    rows = _table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    tricky = spark.createDataFrame([(-1, 0, "user", TRICKY), (-1, 1, "assistant", TRICKY)], rows.schema)
+    made = reply_trees.conversations(reply_trees.as_tree(rows.unionAll(tricky)))
+    conv_id = F.when(F.col("tree") != reply_trees.NO_ID, F.col("tree")).cast("long")
+    return reply_trees.read_back(made.withColumn("conv_id", conv_id))
+
+
 @register()
 def op2_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.mix(_table(spark, folder, "documents"))
@@ -60,11 +83,26 @@ def op3_token_files(spark: SparkSession, folder: str) -> DataFrame:
     return elias_fano.token_table(_table(spark, folder, "documents"), tokenizer_path(), END_ID)
 
 
+@register()
+def op4_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(_table(spark, folder, "documents"), _table(spark, folder, "labels"))
+
+
 @register()
 def op5_pack_sequences(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(_table(spark, folder, "documents"), tokenizer_path(), END_ID)
 
 
+@register()
+def op6_hmm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return hmm.score(_table(spark, folder, "documents"))
+
+
+@register()
+def op7_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_cut.extract(_table(spark, folder, "pages"))
+
+
 @register(
     """
     SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size,
