@@ -89,36 +89,20 @@ def apportion(parties: DataFrame, group: list[str], tie: list[str]) -> DataFrame
     )
 
 
-def mix(
-    docs: DataFrame,
-    share: float = 1.5,
-    weights: tuple[int, ...] = (5, 2, 1),
-    most: int = 2,
-    block: int = 64,
-    shard_rows: int = 4096,
-    seed: int = 17,
-) -> DataFrame:
-    """(doc_id, source, size, source_size, target, taken) for every row of ``docs``.
-
-    ``docs`` has doc_id, text, source; further columns are ignored. ``size`` is the number of
-    words; NULL text has none. A source's documents are dealt to shards of about ``shard_rows``
-    rows, each in seeded order; a shard's words are cut into equal blocks of about ``block``. The
-    blocks of the mix are apportioned to sources, then each source's to its shards; a shard takes
-    whole passes over its blocks and, for the rest, the run of blocks from a seeded one on. So
-    no document is taken more than ``most`` times, reruns agree, and a source with a third of all
-    rows is as many shards as its rows ask for. ``taken`` counts words, repeats included.
-
-    A NULL source is a source. Rows that repeat a doc_id, or have none, are mixed one by one. An
-    empty table gives no rows; empty texts are taken zero words.
-    """
-    sizes = written(
-        docs.select(
-            F.col("doc_id").cast("long"),
-            F.col("source").cast("string"),
-            F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
-        ),
-        "mix-sizes",
+def _placed(docs: DataFrame, share: float, weights: tuple[int, ...], most: int, block: int, shard_rows: int, seed: int, whole: bool) -> DataFrame:
+    """Rows with (doc_id, source, size, source_size, target, passes, and in words the spans
+    from_1 .. to_1 and from_2 .. to_2 taken beyond whole passes); with ``row``, all columns of
+    ``docs`` in a struct, if ``whole``."""
+    size = F.coalesce(F.regexp_count(F.col("text").cast("string"), F.lit(WORD)), F.lit(0)).cast("long")
+    rows = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"),
+        F.col("source").cast("string").alias("source"),
+        size.alias("size"),
+        *([F.struct("*").alias("row")] if whole else []),
     )
+    sizes = written(rows.select("doc_id", "source", "size"), "mix-sizes")
+    rows = rows if whole else sizes
+    carried = ["row"] if whole else []
     sources = sizes.groupBy("source").agg(
         F.sum("size").alias("source_size"), F.count("*").alias("rows")
     )
@@ -128,17 +112,16 @@ def mix(
         ),
         "mix-sources",
     )
-    spread = (
-        sizes.alias("d")
-        .join(sources.select("source", "shards").alias("s"), F.col("d.source").eqNullSafe(F.col("s.source")))
-        .select(
-            "d.doc_id",
-            "d.source",
-            "size",
-            F.pmod(seeded(F.lit(f"{seed}:shard"), "doc_id", "size"), F.col("shards")).alias("shard"),
+    shards_of = sources.select("source", "shards").alias("s")
+
+    def dealt(table: DataFrame) -> DataFrame:
+        return (
+            table.alias("d")
+            .join(shards_of, F.col("d.source").eqNullSafe(F.col("s.source")))
+            .select("d.*", F.pmod(seeded(F.lit(f"{seed}:shard"), "doc_id", "size"), F.col("shards")).alias("shard"))
         )
-    )
-    shards = spread.groupBy("source", "shard").agg(F.sum("size").alias("words")).withColumn(
+
+    shards = dealt(sizes).groupBy("source", "shard").agg(F.sum("size").alias("words")).withColumn(
         "blocks",
         F.when(F.col("words") > 0, F.greatest(F.lit(1), F.round(F.col("words") / block))).otherwise(0).cast("long"),
     )
@@ -188,17 +171,16 @@ def mix(
     )
     in_shard = Window.partitionBy("source", "shard").orderBy("turn", "doc_id", "size")
     placed = (
-        spread.withColumn("turn", seeded(F.lit(f"{seed}:turn"), "doc_id", "size"))
+        dealt(rows).withColumn("turn", seeded(F.lit(f"{seed}:turn"), "doc_id", "size"))
         .withColumn("stop", F.sum("size").over(in_shard.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("start", F.col("stop") - F.col("size"))
     )
     edge = lambda at: f"({at}) * words div blocks"
-    inside = lambda a, b: f"greatest(0L, least(stop, {b}) - greatest(start, {a}))"
-    taken = F.expr(
-        "size * passes"
-        f" + {inside(edge('from_block'), edge('least(to_block, blocks)'))}"
-        f" + {inside('0L', edge('greatest(to_block - blocks, 0L)'))}"
-    )
+    spans = []
+    for i, (a, b) in enumerate([("from_block", "least(to_block, blocks)"), ("0L", "greatest(to_block - blocks, 0L)")], 1):
+        begin = f"coalesce(least(greatest({edge(a)} - start, 0L), size), 0L)"
+        end = f"coalesce(least(greatest({edge(b)} - start, 0L), size), 0L)"
+        spans += [F.expr(begin).alias(f"from_{i}"), F.expr(f"greatest({begin}, {end})").alias(f"to_{i}")]
     p, q, s = placed.alias("p"), quotas.alias("q"), sources.alias("s")
     return (
         p.join(q, F.col("p.source").eqNullSafe(F.col("q.source")) & (F.col("p.shard") == F.col("q.shard")), "left")
@@ -209,6 +191,70 @@ def mix(
             "size",
             "source_size",
             "target",
-            F.coalesce(taken, F.lit(0)).cast("long").alias("taken"),
+            F.coalesce("passes", F.lit(0)).cast("long").alias("passes"),
+            *spans,
+            *carried,
         )
     )
+
+
+def mix(
+    docs: DataFrame,
+    share: float = 1.5,
+    weights: tuple[int, ...] = (5, 2, 1),
+    most: int = 2,
+    block: int = 64,
+    shard_rows: int = 4096,
+    seed: int = 17,
+) -> DataFrame:
+    """(doc_id, source, size, source_size, target, taken) for every row of ``docs``.
+
+    ``docs`` has doc_id, text, source; further columns are ignored. ``size`` is the number of
+    words; NULL text has none. A source's documents are dealt to shards of about ``shard_rows``
+    rows, each in seeded order; a shard's words are cut into equal blocks of about ``block``. The
+    blocks of the mix are apportioned to sources, then each source's to its shards; a shard takes
+    whole passes over its blocks and, for the rest, the run of blocks from a seeded one on. So
+    no document is taken more than ``most`` times, reruns agree, and a source with a third of all
+    rows is as many shards as its rows ask for. ``taken`` counts words, repeats included.
+
+    A NULL source is a source. Rows that repeat a doc_id, or have none, are mixed one by one. An
+    empty table gives no rows; empty texts are taken zero words.
+    """
+    return _placed(docs, share, weights, most, block, shard_rows, seed, False).select(
+        "doc_id",
+        "source",
+        "size",
+        "source_size",
+        "target",
+        F.expr("size * passes + to_1 - from_1 + to_2 - from_2").alias("taken"),
+    )
+
+
+def mixed(
+    docs: DataFrame,
+    share: float = 1.5,
+    weights: tuple[int, ...] = (5, 2, 1),
+    most: int = 2,
+    block: int = 64,
+    shard_rows: int = 4096,
+    seed: int = 17,
+) -> DataFrame:
+    """The mix itself, in the columns of ``docs``: a row per whole pass over a document, and one
+    per span of its words that the mix takes beyond those, white space between them as it was.
+    ``n_chars``, if there, follows the text. Texts move once, by source and shard."""
+    placed = _placed(docs, share, weights, most, block, shard_rows, seed, True)
+    # Words with the white space behind them.
+    words = r"split(regexp_replace(row.text, r'^[\x20\x09-\x0D]+', ''), r'(?<=[\x20\x09-\x0D])(?=[^\x20\x09-\x0D])')"
+    cut = lambda i: (
+        f"if(to_{i} > from_{i}, array(regexp_replace(array_join(slice({words}, cast(from_{i} + 1 as int), "
+        f"cast(to_{i} - from_{i} as int)), ''), r'[\x20\x09-\x0D]+$', '')), cast(array() as array<string>))"
+    )
+    texts = f"concat(array_repeat(row.text, cast(passes as int)), {cut(1)}, {cut(2)})"
+    rows = placed.where("passes > 0 or to_1 > from_1 or to_2 > from_2").select("row", F.explode(F.expr(texts)).alias("taken"))
+    replaced = {"text": F.col("taken"), "n_chars": F.length("taken").cast("long")}
+    return rows.select(
+        *[
+            (replaced[c] if c in replaced else F.col(f"row.`{c}`")).cast(docs.schema[c].dataType).alias(c)
+            for c in docs.columns
+        ]
+    )

@@ -30,15 +30,19 @@ SQL: dict[str, str] = {}
 _HERE = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
+def findable(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver does."""
+    paths = spark.sparkContext.environment
+    if _HERE not in paths.get("PYTHONPATH", ""):
+        paths["PYTHONPATH"] = os.pathsep.join(filter(None, [paths.get("PYTHONPATH"), _HERE]))
+
+
 def register(sql: str | None = None):
     def add(build: Callable[[SparkSession, str], DataFrame]):
         name = build.__name__
 
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            # Python workers find this package where the driver does.
-            paths = spark.sparkContext.environment
-            if _HERE not in paths.get("PYTHONPATH", ""):
-                paths["PYTHONPATH"] = os.pathsep.join(filter(None, [paths.get("PYTHONPATH"), _HERE]))
+            findable(spark)
             return build(spark, folder)
 
         QUERIES[name] = run

@@ -28,8 +28,10 @@ from stocktrail.llm.components import components
 from stocktrail.llm.words import PLACES, U64, mix, shingles, slices
 from stocktrail.session import written
 
-#: Hashed counters of how often a segment's subset occurs: a fixed size, whatever the corpus.
-COUNTERS = 1 << 16
+#: Keys of frequent subsets that are known to all tasks: at most so many, the most frequent.
+HOT_KEYS = 1 << 18
+#: A key is counted where it occurs so often among the documents of one Arrow batch.
+HOT_IN_BATCH = 4
 #: Bits of the filter of candidate ids, as words of 64: at most 2 MB as a table, proven.
 FILTER_WORDS = 1 << 17
 
@@ -41,7 +43,7 @@ class Jaccard:
     num: int = 3
     den: int = 4
     words: int = 5
-    spare: float = 1.5
+    spare: float = 4.0
     deletion_bands: tuple[int, ...] = (4, 5)
     deletion_size: int = 8
 
@@ -86,73 +88,95 @@ def _segments(rule: Jaccard, band: int, shingle: np.ndarray):
     return twos, ones, segment
 
 
-def _subset_keys(band: int, count: int, segment: np.ndarray, shingle: np.ndarray):
-    """Key and size of the subset in each of ``count`` segments; a sum of mixed elements, so that
-    a deletion is a subtraction."""
+def _subsets(band: int, segment: np.ndarray, shingle: np.ndarray, count: int):
+    """(segments that are not empty, sizes, sums of mixed elements, elements): a key is a mix of
+    a sum, so that a deletion is a subtraction."""
     with np.errstate(over="ignore"):
         element = mix(shingle ^ PLACES[50])
         total = np.zeros(count, dtype=np.uint64)
         np.add.at(total, segment, element)
-        size = np.bincount(segment, minlength=count)
-        salt = (np.arange(count, dtype=np.uint64) + U64(1)) * PLACES[51] + U64(band) * PLACES[52]
-        return mix(total + salt), size, total, salt, element
+    size = np.bincount(segment, minlength=count)
+    full = np.flatnonzero(size)
+    return full, size[full], total, element
+
+
+def _keys(band: int, segments: np.ndarray, sums: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix(sums + (segments.astype(np.uint64) + U64(1)) * PLACES[51] + U64(band) * PLACES[52])
 
 
 def _all_keys(rule: Jaccard, shingle: np.ndarray) -> Iterator[np.ndarray]:
     """Keys of the one-unit segments that a set might index."""
     for band, _ in _schemes(rule, int(shingle.size)):
         twos, ones, segment = _segments(rule, band, shingle)
-        yield _subset_keys(band, twos + ones, segment, shingle)[0][twos:]
+        full, _, total, _ = _subsets(band, segment, shingle, twos + ones)
+        full = full[full >= twos]
+        yield _keys(band, full, total[full])
 
 
-def signatures(rule: Jaccard, shingle: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Keys under which a set is indexed, distinct."""
+def signatures(rule: Jaccard, shingle: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Keys under which a set is indexed, distinct. ``hot``: sorted frequent keys, their counts."""
     out = []
     for band, most in _schemes(rule, int(shingle.size)):
         twos, ones, segment = _segments(rule, band, shingle)
-        key, size, total, salt, element = _subset_keys(band, twos + ones, segment, shingle)
+        full, size, total, element = _subsets(band, segment, shingle, twos + ones)
         if twos:
-            out.append(key[:twos])
+            first = np.arange(twos)
+            out.append(_keys(band, first, total[:twos]))
             mine = segment < twos
             with np.errstate(over="ignore"):
-                out.append(mix(total[segment[mine]] - element[mine] + salt[segment[mine]]))
+                out.append(_keys(band, segment[mine], total[segment[mine]] - element[mine]))
         need = most + 1 - 2 * twos
         if need > 0:
-            key, size = key[twos:], size[twos:]
-            cost = counts[(key & U64(COUNTERS - 1)).astype(np.int64)]
+            one = full >= twos
+            full, size = full[one], size[one]
+            key = _keys(band, full, total[full])
             # Rare first, then large; the key settles ties, the same way for every set.
-            out.append(key[np.lexsort((key, -size, cost))[:need]])
+            out.append(key[np.lexsort((key, -size, _counts_of(key, hot)))[:need]])
+            if len(full) < need:
+                # Empty segments come last, in their own order.
+                empty = np.setdiff1d(np.arange(twos, twos + ones), full)
+                out.append(_keys(band, empty[: need - len(full)], total[empty[: need - len(full)]]))
     return np.unique(np.concatenate(out))
 
 
+def _counts_of(key: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    keys, counts = hot
+    if not len(keys):
+        return np.zeros(len(key), dtype=np.int64)
+    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+    return np.where(keys[at] == key, counts[at], 0)
+
+
 def _sizes_and_counts(rule: Jaccard):
+    """Rows (doc_id, n_shingles, NULL), and (NULL, count, key) of keys frequent in a batch."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts = np.zeros(COUNTERS, dtype=np.int64)
         for batch in batches:
             size = np.zeros(batch.num_rows, dtype=np.int64)
+            held = []
             for part in slices(batch.column(1)):
-                for i, shingle in enumerate(shingles(part, rule.words)):
-                    size[part.first + i] = shingle.size
+                for i, shingle in enumerate(shingles(part, rule.words), part.first):
+                    size[i] = shingle.size
                     if shingle.size:
-                        for key in _all_keys(rule, shingle):
-                            at = (key & U64(COUNTERS - 1)).astype(np.int64)
-                            np.add.at(counts, at, 1)
+                        held += _all_keys(rule, shingle)
             yield pa.record_batch(
                 [batch.column(0), pa.array(size), pa.nulls(batch.num_rows, pa.int64())],
-                names=["doc_id", "n_shingles", "counter"],
+                names=["doc_id", "n_shingles", "key"],
             )
-        used = np.flatnonzero(counts)
-        yield pa.record_batch(
-            [pa.nulls(used.size, pa.int64()), pa.array(counts[used]), pa.array(used)],
-            names=["doc_id", "n_shingles", "counter"],
-        )
+            if held:
+                keys, counts = np.unique(np.concatenate(held), return_counts=True)
+                often = counts >= HOT_IN_BATCH
+                columns = [pa.array(counts[often].astype(np.int64)), pa.array(keys[often].view(np.int64))]
+                none = pa.nulls(int(often.sum()), pa.int64())
+                yield pa.record_batch([none, *columns], names=["doc_id", "n_shingles", "key"])
 
     return run
 
 
-def _signed(rule: Jaccard, counts):
+def _signed(rule: Jaccard, hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = counts.value
+        known = hot.value
         for batch in batches:
             for part in slices(batch.column(1)):
                 keys = [
@@ -289,15 +313,21 @@ def jaccard_components(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     first = written(
-        docs.mapInArrow(_sizes_and_counts(rule), "doc_id long, n_shingles long, counter long"),
-        "sizes",
+        docs.mapInArrow(_sizes_and_counts(rule), "doc_id long, n_shingles long, key long"), "sizes"
+    )
+    sizes = first.where("key is null").select("doc_id", "n_shingles")
+    # No more than HOT_KEYS rows of two numbers, whatever the corpus.
+    often = (
+        first.where("key is not null")
+        .groupBy("key")
+        .agg(F.sum("n_shingles").alias("n"))
+        .orderBy(F.desc("n"), "key")
+        .limit(HOT_KEYS)
+        .toPandas()
     )
-    sizes = first.where("counter is null").select("doc_id", "n_shingles")
-    counts = np.zeros(COUNTERS, dtype=np.int64)
-    # No more than COUNTERS rows, whatever the corpus.
-    for row in first.where("counter is not null").groupBy("counter").agg(F.sum("n_shingles")).collect():
-        counts[row[0]] = row[1]
-    known = spark.sparkContext.broadcast(counts)
+    hot_keys = often["key"].to_numpy(dtype=np.int64).view(np.uint64)
+    order = np.argsort(hot_keys)
+    known = spark.sparkContext.broadcast((hot_keys[order], often["n"].to_numpy(dtype=np.int64)[order]))
     keys = (
         docs.where("doc_id is not null")
         .mapInArrow(_signed(rule, known), "doc long, keys array<bigint>")

@@ -13,18 +13,24 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from stocktrail.llm.words import U64, Slice, slices
 
 #: A filter in front of the look-up of features: that many flags.
 FLAGS = 1 << 18
+SAID = [
+    T.StructField("severity", T.DoubleType()),
+    T.StructField("p_toxic", T.DoubleType()),
+    T.StructField("grade", T.LongType()),
+]
 
 
 @dataclass(frozen=True)
 class Rule:
     """``sample`` labelled texts at most are fitted on; ``features`` at most, each with a z-score
-    of ``least_z`` and a share of toxic texts, among those that have it, of ``least_share`` or more; toxic texts are graded 1 to ``grades`` by how much of these they hold; a text is rejected where its chance of grade 1 or more reaches ``reject_at``."""
+    of ``least_z`` and a share of toxic texts, among those that have it, of ``least_share`` or more; toxic texts are
+    graded 1 to ``grades`` by how much of these they hold."""
 
     sample: int = 20_000
     features: int = 4096
@@ -34,7 +40,6 @@ class Rule:
     grades: int = 3
     penalty: float = 1e-6
     steps: int = 400
-    reject_at: float = 0.5
 
 
 @dataclass(frozen=True)
@@ -42,6 +47,7 @@ class Fitted:
     features: np.ndarray  # sorted hashes
     weights: np.ndarray
     thresholds: np.ndarray
+    reject_at: float  # chance of grade 1 or more from which a text is rejected
 
 
 def _occurrences(rule: Rule, part: Slice) -> tuple[np.ndarray, np.ndarray]:
@@ -191,29 +197,67 @@ def fit(docs: DataFrame, labels: DataFrame, rule: Rule) -> Fitted | None:
     edges = np.quantile(marks[toxic], np.arange(1, rule.grades) / rule.grades)
     grade = np.where(toxic, 1 + np.searchsorted(edges, marks), 0)
     weights, thresholds = fit_cumulative_link(rows, at, value, grade, len(features), rule)
-    return Fitted(features, weights, thresholds)
+    score = np.bincount(rows, weights=weights[at] * value, minlength=len(sample))
+    return Fitted(features, weights, thresholds, chance_above(thresholds[0], best_cut(score, toxic)))
+
+
+def chance_above(threshold: float, score: float) -> float:
+    return float(1 / (1 + np.exp(np.clip(threshold - score, -40, 40))))
+
+
+def best_cut(score: np.ndarray, toxic: np.ndarray) -> float:
+    """The score that parts the sample's toxic from its clean texts with the fewest errors, in the
+    middle between its neighbours; of equal ones the highest."""
+    levels, which = np.unique(score, return_inverse=True)
+    bad = np.bincount(which, weights=toxic, minlength=len(levels))
+    good = np.bincount(which, weights=~toxic, minlength=len(levels))
+    # Errors if all from level k on are rejected; none, at the end.
+    errors = np.append(np.cumsum(good[::-1])[::-1], 0) + np.concatenate([[0], np.cumsum(bad)])
+    k = len(errors) - 1 - int(errors[::-1].argmin())
+    if k == 0:
+        return float(levels[0])
+    return float((levels[k - 1] + levels[k]) / 2) if k < len(levels) else float(levels[-1] + 1)
 
 
 def _predict(rule: Rule, model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fitted = model.value
         for batch in batches:
-            for part, text, at, times in _vectors(rule, batch.column(1), fitted.features):
+            row = batch.column(0)
+            texts = row.flatten()[row.type.get_field_index("text")]
+            for part, text, at, times in _vectors(rule, texts, fitted.features):
                 score = np.bincount(text, weights=np.log1p(times) * fitted.weights[at], minlength=part.n)
                 above = 1 / (1 + np.exp(np.clip(fitted.thresholds[None, :] - score[:, None], -40, 40)))
                 below = 1 - np.concatenate([above, np.zeros((part.n, 1))], axis=1)
                 chance = np.diff(np.concatenate([np.zeros((part.n, 1)), below], axis=1), axis=1)
                 columns = [
-                    batch.column(0).slice(part.first, part.n),
+                    row.slice(part.first, part.n),
                     pa.array(above.sum(axis=1)),
                     pa.array(above[:, 0].copy()),
                     pa.array(chance.argmax(axis=1).astype(np.int64)),
                 ]
-                yield pa.record_batch(columns, names=["doc_id", "severity", "p_toxic", "grade"])
+                yield pa.record_batch(columns, names=["row", "severity", "p_toxic", "grade"])
 
     return run
 
 
+def graded(docs: DataFrame, labels: DataFrame, rule: Rule = Rule()) -> DataFrame:
+    """(row, severity, p_toxic, grade, kept): each row of ``docs`` as it is, in a struct, so that
+    no column's name can clash, next to what the model says of its text. Nothing is shuffled."""
+    labels = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
+    texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
+    fitted = fit(texts, labels, rule)
+    rows = docs.withColumn("text", F.col("text").cast("string")).select(F.struct("*").alias("row"))
+    if fitted is None:
+        zero = F.lit(0.0)
+        out = rows.select("row", zero.alias("severity"), zero.alias("p_toxic"), F.lit(0).cast("long").alias("grade"))
+    else:
+        model = docs.sparkSession.sparkContext.broadcast(fitted)
+        shape = T.StructType([*rows.schema.fields, *SAID])
+        out = rows.mapInArrow(_predict(rule, model), shape)
+    return out.withColumn("kept", F.col("p_toxic") < (fitted.reject_at if fitted else 1.0))
+
+
 def toxicity(docs: DataFrame, labels: DataFrame, rule: Rule = Rule()) -> DataFrame:
     """(doc_id, severity, p_toxic, grade, kept) for every row of ``docs``.
 
@@ -224,13 +268,5 @@ def toxicity(docs: DataFrame, labels: DataFrame, rule: Rule = Rule()) -> DataFra
     labelled texts, or without telling features, nothing is known: severity 0, all kept. Repeated
     rows come back one by one, and an empty table gives no rows.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    labels = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int"))
-    fitted = fit(docs, labels, rule)
-    if fitted is None:
-        zero = F.lit(0.0)
-        scored = docs.select("doc_id", zero.alias("severity"), zero.alias("p_toxic"), F.lit(0).cast("long").alias("grade"))
-    else:
-        model = docs.sparkSession.sparkContext.broadcast(fitted)
-        scored = docs.mapInArrow(_predict(rule, model), "doc_id long, severity double, p_toxic double, grade long")
-    return scored.withColumn("kept", F.col("p_toxic") < rule.reject_at)
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return graded(docs, labels, rule).select("row.doc_id", "severity", "p_toxic", "grade", "kept")
