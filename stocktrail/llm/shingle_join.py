@@ -30,6 +30,9 @@ from stocktrail.session import written
 
 #: Keys of frequent subsets that are known to all tasks: at most so many, the most frequent.
 HOT_KEYS = 1 << 18
+#: Documents of one key that are paired in one task at most; a key with more is as many blocks
+#: as it takes, and every two blocks are a task's cell.
+BLOCK = 4096
 #: A key is counted where it occurs so often among the documents of one Arrow batch.
 HOT_IN_BATCH = 4
 #: Bits of the filter of candidate ids, as words of 64: at most 2 MB as a table, proven.
@@ -216,24 +219,31 @@ def _verify(rule: Jaccard):
     return run
 
 
+def parities(shingle: np.ndarray) -> np.ndarray:
+    """Whether an odd number of shingles falls in each of some buckets, as bits: two to four
+    buckets per shingle, by the low bits of the hashes. Folded to the same size, two sets' bits
+    differ in at most as many places as the sets do."""
+    buckets = 1 << max(6, _band(max(1, int(shingle.size))) + 2)
+    odd = np.bincount((shingle & U64(buckets - 1)).astype(np.int64), minlength=buckets) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
+
+
+def _folded(bits: np.ndarray, words: int) -> np.ndarray:
+    return np.bitwise_xor.reduce(bits.reshape(-1, words), axis=0)
+
+
 def _sketches(rule: Jaccard):
-    """Rows (doc_id, text) to (doc_id, n, sketch): how many shingles fall in each of as many
-    buckets as half the set's size, by the low bits of their hashes."""
+    """Rows (doc_id, text) to (doc_id, n, sketch)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in slices(batch.column(1)):
-                n, sketch = [], []
-                for s in shingles(part, rule.words):
-                    buckets = 1 << max(4, _band(max(1, int(s.size))) - 1)
-                    each = np.bincount((s & U64(buckets - 1)).astype(np.int64), minlength=buckets)
-                    n.append(s.size)
-                    sketch.append(each.astype(np.uint8).tobytes() if each.max() < 256 else b"")
+                sets = list(shingles(part, rule.words))
                 yield pa.record_batch(
                     [
                         batch.column(0).slice(part.first, part.n),
-                        pa.array(n, pa.int64()),
-                        pa.array(sketch, pa.binary()),
+                        pa.array([x.size for x in sets], pa.int64()),
+                        pa.array([parities(x).tobytes() for x in sets], pa.binary()),
                     ],
                     names=["doc_id", "n", "sketch"],
                 )
@@ -242,16 +252,13 @@ def _sketches(rule: Jaccard):
 
 
 def _apart(rule: Jaccard, n_a: int, n_b: int, a: bytes, b: bytes) -> bool:
-    """Whether sizes and bucket counts alone show that two sets are too far from each other: the
-    differences of the counts add up to the sets' distance at most."""
+    """Whether sizes and sketches alone show that two sets are too far from each other."""
     if rule.den * min(n_a, n_b) < rule.num * max(n_a, n_b):
         return True
-    if not a or not b:
-        return False
-    x, y = np.frombuffer(a, np.uint8).astype(np.int16), np.frombuffer(b, np.uint8).astype(np.int16)
-    least = min(x.size, y.size)
-    x, y = x.reshape(-1, least).sum(axis=0), y.reshape(-1, least).sum(axis=0)
-    return int(np.abs(x - y).sum()) > rule.distance(n_a, n_b)
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    words = min(x.size, y.size)
+    differ = np.bitwise_count(_folded(x, words) ^ _folded(y, words)).sum()
+    return int(differ) > rule.distance(n_a, n_b)
 
 
 def _near(rule: Jaccard):
@@ -264,6 +271,62 @@ def _near(rule: Jaccard):
     return run
 
 
+def _across(rule: Jaccard):
+    """Rows (cell, doc, component, side, n, sketch), sorted by cell, to pairs (a > b) of one cell
+    that lie in different components and may be linked by their sizes and sketches. ``side`` is 0
+    in a cell that is paired with itself, else 1 or 2, and pairs have both."""
+
+    def pairs(rows: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        if len({r[1] for r in rows}) < 2:
+            return
+        doc, component, side, n = (np.array([r[i] for r in rows], dtype=np.int64) for i in range(4))
+        bits = [np.frombuffer(r[4], np.uint64) for r in rows]
+        words = min(b.size for b in bits)
+        bits = np.stack([_folded(b, words) for b in bits])
+        main = np.bincount(np.unique(component, return_inverse=True)[1])
+        order = np.argsort(main[np.unique(component, return_inverse=True)[1]], kind="stable")
+        doc, component, side, n, bits = doc[order], component[order], side[order], n[order], bits[order]
+        # Documents of small components come first, so that the largest one's never ask.
+        for i in range(len(doc) - 1):
+            if component[i] == component[-1]:
+                break
+            rest = slice(i + 1, None)
+            maybe = component[rest] != component[i]
+            maybe &= (side[rest] != side[i]) | (side[i] == 0)
+            small, large = np.minimum(n[i], n[rest]), np.maximum(n[i], n[rest])
+            maybe &= rule.den * small >= rule.num * large
+            at = i + 1 + np.flatnonzero(maybe)
+            differ = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1)
+            most = (n[i] + n[at]) * (rule.den - rule.num) // (rule.den + rule.num)
+            other = doc[at[differ <= most]]
+            yield np.maximum(other, doc[i]), np.minimum(other, doc[i])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        cell = None
+        found: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def out() -> pa.RecordBatch:
+            a = np.concatenate([np.zeros(0, np.int64), *[f[0] for f in found]])
+            b = np.concatenate([np.zeros(0, np.int64), *[f[1] for f in found]])
+            found.clear()
+            pair = np.unique(np.stack([a, b], axis=1), axis=0)
+            return pa.record_batch([pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())], names=["a", "b"])
+
+        for batch in batches:
+            for row in zip(*[batch.column(k).to_pylist() for k in range(6)]):
+                if row[0] != cell:
+                    found += pairs(held)
+                    cell, held = row[0], []
+                    if len(found) > 100_000:
+                        yield out()
+                held.append(row[1:])
+        found += pairs(held)
+        yield out()
+
+    return run
+
+
 def _rows_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """The documents named in ``pairs``, and few others, without moving a text: a filter of
     FILTER_WORDS rows of two numbers at most, which is what is broadcast whatever the corpus. It
@@ -289,7 +352,10 @@ def _links(rule: Jaccard, docs: DataFrame, pairs: DataFrame) -> DataFrame:
     b = sketches.toDF("b", "n_b", "sketch_b")
     sides = ["a", "b", "n_a", "n_b", "sketch_a", "sketch_b"]
     near = pairs.join(b, "b").join(a, "a").select(*sides).mapInArrow(_near(rule), "a long, b long")
-    near = written(near.distinct(), "near-pairs")
+    return _verified(rule, docs, written(near.distinct(), "near-pairs"))
+
+
+def _verified(rule: Jaccard, docs: DataFrame, near: DataFrame) -> DataFrame:
     texts = written(_rows_of(docs, near), "candidate-texts")
     a = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
@@ -357,27 +423,40 @@ def jaccard_components(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
         .unionAll(shared.select("key", F.col("least").alias("doc")))
         .distinct()
         .join(label, "doc", "left")
-        .join(n.withColumnRenamed("doc_id", "doc"), "doc")
-        .select("key", "doc", F.coalesce("component", "doc").alias("component"), "low", "high")
+        .select("key", "doc", F.coalesce("component", "doc").alias("component"))
     )
     members = written(members, "members")
     split = (
         members.groupBy("key")
         .agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
         .where("x != y and n > 2")
-        .select("key")
+        .select("key", "n")
+    )
+    # Whatever the key's size, a cell has two blocks of documents at most.
+    open_rows = members.join(split, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
+    block = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
+    cells = (
+        open_rows.withColumn("block", block)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("cell"),
+            "doc",
+            "component",
+            F.expr("case when block = other then 0 when block < other then 1 else 2 end").alias("side"),
+        )
     )
-    open_keys = written(members.join(split, "key", "left_semi"), "open-keys")
-    x = open_keys.toDF("key", "a", "component_a", "low_a", "high_a")
-    y = open_keys.toDF("key", "b", "component_b", "low_b", "high_b")
+    asked = open_rows.select(F.col("doc").alias("a"), F.col("doc").alias("b")).distinct()
+    shape = "doc_id long, n long, sketch binary"
+    sketches = written(_rows_of(docs, asked).mapInArrow(_sketches(rule), shape), "sketches")
     across = (
-        x.join(y, "key")
-        .where(F.expr("a > b and component_a != component_b") & fits)
-        .select("a", "b")
+        cells.join(sketches.withColumnRenamed("doc_id", "doc"), "doc")
+        .select("cell", "doc", "component", F.col("side").cast("long").alias("side"), "n", "sketch")
+        .repartition("cell")
+        .sortWithinPartitions("cell")
+        .mapInArrow(_across(rule), "a long, b long")
         .distinct()
-        .join(stars, ["a", "b"], "left_anti")
     )
-    more = _links(rule, docs, written(across, "across"))
+    more = _verified(rule, docs, written(across, "across"))
     found = components(links.unionAll(more))
     return sizes.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
