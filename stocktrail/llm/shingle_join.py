@@ -203,16 +203,16 @@ def _verify(rule: Jaccard):
     """Rows (a, b, text_a, text_b), sorted by a as it happens, to the linked (a, b)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last: tuple = (None, None)
+        last: tuple = (None, None)  # rows of the same text_a follow one another
         for batch in batches:
-            ids = batch.column(0).to_pylist()
             texts = batch.column(2)
             keep = np.zeros(batch.num_rows, dtype=bool)
             for part in slices(batch.column(3)):
                 for i, other in enumerate(shingles(part, rule.words), part.first):
-                    if last[0] != ids[i]:
+                    text = texts[i].as_py()
+                    if last[0] != text:
                         one = next(slices(texts.slice(i, 1)))
-                        last = ids[i], next(shingles(one, rule.words))
+                        last = text, next(shingles(one, rule.words))
                     keep[i] = rule.linked(last[1], other)
             yield batch.select([0, 1]).filter(pa.array(keep))
 
