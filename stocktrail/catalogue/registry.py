@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from stocktrail.plans.standins import Tables
-from stocktrail.session import configure, folder_bytes
+from stocktrail.session import configure
 
 
 @dataclass(frozen=True)
@@ -19,7 +19,7 @@ class Query:
     sql: str | None
 
     def run(self, spark: SparkSession, folder: str) -> DataFrame:
-        configure(spark, folder_bytes(spark, folder))
+        configure(spark)
         return present(self.build(Tables(spark, folder)))
 
 

@@ -20,29 +20,14 @@ RUNTIME_CONF = {
 }
 
 INITIAL_PARTITIONS = "spark.sql.adaptive.coalescePartitions.initialPartitionNum"
-SCAN_BYTES = "spark.sql.files.maxPartitionBytes"
 
-MB = 1024 * 1024
-SHUFFLED_BYTES = 256 * MB
-SCANNED_BYTES = 128 * MB
-# The driver keeps a record of each map task's output for each partition, so neither may grow
-# with the input for ever; beyond these numbers the tasks get larger and spill.
-MOST_PARTITIONS = 20_000
-MOST_SCAN_TASKS = 100_000
 
-
-def configure(spark: SparkSession, input_bytes: int = 0) -> SparkSession:
-    """Set what the jobs rely on, and the sizes of tasks for the size of the input.
-
-    Adaptive execution merges small shuffle partitions but never makes more, so the number it
-    starts from must suit the input: one per 256 MB, and no less than the session asks for.
-    """
+def configure(spark: SparkSession) -> SparkSession:
+    """Set what the jobs rely on. The numbers and sizes of tasks are left to the session: adaptive
+    execution merges small shuffle partitions but never makes more, so the number it starts from
+    must suit the input."""
     for key, value in RUNTIME_CONF.items():
         spark.conf.set(key, value)
-    wanted = min(-(-input_bytes // SHUFFLED_BYTES), MOST_PARTITIONS)
-    asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    spark.conf.set(INITIAL_PARTITIONS, str(max(wanted, asked)))
-    spark.conf.set(SCAN_BYTES, str(max(SCANNED_BYTES, -(-input_bytes // MOST_SCAN_TASKS))))
     return spark
 
 
@@ -51,13 +36,6 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get(INITIAL_PARTITIONS, spark.conf.get("spark.sql.shuffle.partitions")))
 
 
-def folder_bytes(spark: SparkSession, folder: str) -> int:
-    """Size of all files below a folder, from the file system's own summary."""
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return files.getContentSummary(path).getLength()
-
-
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -67,13 +45,13 @@ def scratch_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
         return root.rstrip("/")
-    current = spark.sparkContext._jsc.sc().getCheckpointDir()
-    if current.isDefined():
-        return current.get()
+    current = spark.sparkContext.getCheckpointDir()
+    if current:
+        return current
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors can reach")
     spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="stocktrail-"))
-    return spark.sparkContext._jsc.sc().getCheckpointDir().get()
+    return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -85,7 +63,7 @@ def cut(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder and go on from there, with the lineage cut."""
     spark = df.sparkSession
     context = spark.sparkContext
-    if not context._jsc.sc().getCheckpointDir().isDefined():
+    if not context.getCheckpointDir():
         context.setCheckpointDir(scratch_root(spark))
     return df.checkpoint(eager=True)
 

@@ -4,24 +4,11 @@ from stocktrail import session
 from tests.conftest import rows
 
 
-def test_shuffles_start_from_the_size_of_the_input(spark):
-    try:
-        session.configure(spark, 2**40)
-        assert session.shuffle_partitions(spark) == 4096
-        assert spark.conf.get(session.SCAN_BYTES) == str(128 * 2**20)
-        session.configure(spark, 100 * 2**40)
-        assert session.shuffle_partitions(spark) == 20_000
-        assert int(spark.conf.get(session.SCAN_BYTES)) > 2**30
-    finally:
-        session.configure(spark)
-    assert spark.conf.get(session.INITIAL_PARTITIONS) == spark.conf.get("spark.sql.shuffle.partitions")
-
-
-def test_folder_bytes(spark, tmp_path):
-    (tmp_path / "a").write_bytes(b"x" * 10)
-    (tmp_path / "below").mkdir()
-    (tmp_path / "below" / "b").write_bytes(b"x" * 5)
-    assert session.folder_bytes(spark, str(tmp_path)) == 15
+def test_task_numbers_are_the_sessions(spark):
+    before = {k: spark.conf.get(k, None) for k in (session.INITIAL_PARTITIONS, "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes")}
+    session.configure(spark)
+    assert {k: spark.conf.get(k, None) for k in before} == before
+    assert session.shuffle_partitions(spark) == int(before["spark.sql.shuffle.partitions"])
 
 
 def test_scratch_is_below_the_configured_folder(spark):
