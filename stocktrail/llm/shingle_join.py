@@ -33,6 +33,8 @@ HOT_KEYS = 1 << 18
 #: Documents of one key that are paired in one task at most; a key with more is as many blocks
 #: as it takes, and every two blocks are a task's cell.
 BLOCK = 4096
+#: Pairs of one task that are held to give each out once.
+MOST_PAIRS = 500_000
 #: A key is counted where it occurs so often among the documents of one Arrow batch.
 HOT_IN_BATCH = 4
 #: Bits of the filter of candidate ids, as words of 64: at most 2 MB as a table, proven.
@@ -305,23 +307,30 @@ def _across(rule: Jaccard):
         held: list[tuple] = []
         cell = None
         found: list[tuple[np.ndarray, np.ndarray]] = []
+        once = np.zeros((0, 2), dtype=np.int64)
 
-        def out() -> pa.RecordBatch:
-            a = np.concatenate([np.zeros(0, np.int64), *[f[0] for f in found]])
-            b = np.concatenate([np.zeros(0, np.int64), *[f[1] for f in found]])
+        def gather() -> None:
+            nonlocal once
+            new = [np.stack(f, axis=1) for f in found]
             found.clear()
-            pair = np.unique(np.stack([a, b], axis=1), axis=0)
-            return pa.record_batch([pa.array(pair[:, 0].copy()), pa.array(pair[:, 1].copy())], names=["a", "b"])
+            once = np.unique(np.concatenate([once, *new]), axis=0)
+
+        def out() -> pa.RecordBatch:
+            return pa.record_batch([pa.array(once[:, 0].copy()), pa.array(once[:, 1].copy())], names=["a", "b"])
 
         for batch in batches:
             for row in zip(*[batch.column(k).to_pylist() for k in range(6)]):
                 if row[0] != cell:
                     found += pairs(held)
                     cell, held = row[0], []
-                    if len(found) > 100_000:
-                        yield out()
+                    if len(found) > 4096:
+                        gather()
+                        if len(once) > MOST_PAIRS:
+                            yield out()
+                            once = once[:0]
                 held.append(row[1:])
         found += pairs(held)
+        gather()
         yield out()
 
     return run
@@ -419,11 +428,11 @@ def jaccard_components(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
 
     label = found.select(F.col("id").alias("doc"), "component")
     members = (
-        shared.select("key", "doc")
-        .unionAll(shared.select("key", F.col("least").alias("doc")))
+        shared.select("key", "least", "doc")
+        .unionAll(shared.select("key", "least", F.col("least").alias("doc")))
         .distinct()
         .join(label, "doc", "left")
-        .select("key", "doc", F.coalesce("component", "doc").alias("component"))
+        .select("key", "least", "doc", F.coalesce("component", "doc").alias("component"))
     )
     members = written(members, "members")
     split = (
@@ -432,7 +441,9 @@ def jaccard_components(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
         .where("x != y and n > 2")
         .select("key", "n")
     )
-    # Whatever the key's size, a cell has two blocks of documents at most.
+    # Whatever the key's size, a cell has two blocks of documents at most. Documents that share one
+    # key often share more; keys of the same least document go to one task, cell after cell, which
+    # gives out a pair once.
     open_rows = members.join(split, "key").withColumn("blocks", F.ceil(F.col("n") / BLOCK).cast("int"))
     block = F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int")
     cells = (
@@ -440,6 +451,7 @@ def jaccard_components(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
             F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("cell"),
+            F.xxhash64("least", F.least("block", "other"), F.greatest("block", "other")).alias("route"),
             "doc",
             "component",
             F.expr("case when block = other then 0 when block < other then 1 else 2 end").alias("side"),
@@ -450,9 +462,9 @@ def jaccard_components(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
     sketches = written(_rows_of(docs, asked).mapInArrow(_sketches(rule), shape), "sketches")
     across = (
         cells.join(sketches.withColumnRenamed("doc_id", "doc"), "doc")
+        .repartition("route")
+        .sortWithinPartitions("route", "cell")
         .select("cell", "doc", "component", F.col("side").cast("long").alias("side"), "n", "sketch")
-        .repartition("cell")
-        .sortWithinPartitions("cell")
         .mapInArrow(_across(rule), "a long, b long")
         .distinct()
     )
