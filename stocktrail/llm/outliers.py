@@ -30,16 +30,15 @@ def text_counts(docs: DataFrame, *carried: str) -> DataFrame:
     d = d.withColumn("n_words", n.cast("long")).withColumn(
         "grams",
         F.expr(
-            "if(n_words < 5, cast(array() as array<bigint>), transform(arrays_zip("
-            + ", ".join(f"slice(words, {k + 1}, greatest(cast(n_words as int) - 4, 0))" for k in range(5))
-            + "), z -> xxhash64(z)))"
+            "if(n_words < 5, cast(array() as array<bigint>), transform(slice(words, 1, cast(n_words as int) - 4), "
+            "(w, i) -> xxhash64(w, words[i + 1], words[i + 2], words[i + 3], words[i + 4])))"
         ),
     )
     # Windows sorted with their places; those like a neighbour repeat. An array of one binds a name.
     repeated = """
       if(size(array_distinct(grams)) = size(grams), 0L,
-        transform(array(array_sort(transform(grams, (g, i) -> struct(g, i)))), s ->
-          transform(array(array_sort(transform(
+        transform(array(sort_array(transform(grams, (g, i) -> struct(g, i)))), s ->
+          transform(array(sort_array(transform(
             filter(s, (x, j) -> coalesce(x.g = get(s, j - 1).g, false) or coalesce(x.g = get(s, j + 1).g, false)),
             x -> x.i))), p ->
             aggregate(transform(p, (x, j) -> cast(least(5, coalesce(get(p, j + 1) - x, 5)) as bigint)), 0L, (a, b) -> a + b)
