@@ -285,10 +285,11 @@ def _across(rule: Jaccard):
         bits = [np.frombuffer(r[4], np.uint64) for r in rows]
         words = min(b.size for b in bits)
         bits = np.stack([_folded(b, words) for b in bits])
-        main = np.bincount(np.unique(component, return_inverse=True)[1])
-        order = np.argsort(main[np.unique(component, return_inverse=True)[1]], kind="stable")
+        label = np.unique(component, return_inverse=True)[1]
+        # By size, then component: of several largest ones, the last has its rows together.
+        order = np.lexsort((label, np.bincount(label)[label]))
         doc, component, side, n, bits = doc[order], component[order], side[order], n[order], bits[order]
-        # Documents of small components come first, so that the largest one's never ask.
+        # Documents of small components come first, so that those of the last, a largest one, never ask.
         for i in range(len(doc) - 1):
             if component[i] == component[-1]:
                 break

@@ -98,6 +98,29 @@ def test_parities_differ_in_no_more_places_than_sets():
         assert differ <= np.setxor1d(a, b).size
 
 
+@pytest.mark.parametrize("blocks", [1, 2])
+def test_pairs_across_components_of_equal_size_in_any_order(blocks):
+    import itertools
+
+    import numpy as np
+    import pyarrow as pa
+
+    sketch = shingle_join.parities(np.arange(1, 9, dtype=np.uint64)).tobytes()
+    names = ["cell", "doc", "component", "side", "n", "sketch"]
+    for labels in ([1, 1, 2, 2], [1, 1, 2, 2, 3, 3], [1, 2, 2, 3, 3]):
+        for order in sorted(set(itertools.permutations(labels))):
+            rows = [(7, d, c, 0 if blocks == 1 else 1 + d % 2, 8, sketch) for d, c in enumerate(order)]
+            want = {
+                (a[1], b[1])
+                for a in rows
+                for b in rows
+                if a[1] > b[1] and a[2] != b[2] and (blocks == 1 or a[3] != b[3])
+            }
+            batch = pa.record_batch([pa.array(c) for c in zip(*rows)], names=names)
+            got = [p for out in shingle_join._across(Jaccard())([batch]) for p in zip(*out.to_pydict().values())]
+            assert sorted(got) == sorted(want), order
+
+
 def test_connected_components_of_a_chain_a_star_and_a_ring(spark):
     links = [(i + 1, i) for i in range(1, 40)] + [(100 + i, 100) for i in range(1, 30)] + [(201, 200), (202, 201), (202, 200)]
     draw = random.Random(1)
