@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -19,7 +20,7 @@ from pyspark.sql import DataFrame, functions as F
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(script|style|noscript|template|svg|iframe|select|textarea|button|title|object|canvas|audio|video)\b[^>]*>.*?(?:</\1\s*>|\Z)"
+    r"|<(script|style|textarea|title)(?=[\s/>])(?:(?:[^>\"']|\"[^\"]*\"|'[^']*')*+|[^>]*)(?<!/)>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
     r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>"
     r"|<[/!?a-zA-Z][^>]*(?:>|\Z)"
     r"|([^<]+|<)",
@@ -32,7 +33,10 @@ BLOCK_TAGS = frozenset(
     "html head body p div h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption section article "
     "main header footer nav aside form fieldset blockquote pre figure figcaption hr address details summary menu dialog center".split()
 )
+#: Tags that are left out with all they hold, where they are closed.
+HIDDEN_TAGS = frozenset("noscript template svg iframe select button object canvas audio video".split())
 BOILERPLATE_TAGS = frozenset("nav footer aside form menu head dialog".split())
+#: Words that make up a class, id or role; a name with any other word in it says nothing.
 BOILERPLATE_NAMES = frozenset(
     "ad ads advert adverts advertisement sponsor sponsored promo promotion banner cookie cookies consent notice alert "
     "sidebar widget menu nav navigation navbar breadcrumb breadcrumbs comment comments respond reply replies disqus share "
@@ -65,8 +69,49 @@ class Block:
     features: list[float] = field(default_factory=list)
 
 
+def _hidden(tokens: list[re.Match]) -> dict[int, int]:
+    """Start to end of what is left out, as places in ``tokens``. A tag that closes itself, or is
+    not closed within the block it stands in, hides nothing."""
+    out: dict[int, int] = {}
+    opened: list[tuple[str, int]] = []
+    count: Counter[str] = Counter()
+    for i, m in enumerate(tokens):
+        tag = (m.group(3) or "").lower()
+        if tag not in HIDDEN_TAGS and tag not in BLOCK_TAGS:
+            continue
+        if not m.group(2):
+            if tag in BLOCK_TAGS or not m.group(4).endswith("/"):
+                opened.append((tag, i))
+                count[tag] += 1
+            continue
+        while count[tag]:
+            last, at = opened.pop()
+            count[last] -= 1
+            if last == tag:
+                if tag in HIDDEN_TAGS:
+                    out[at] = i
+                break
+    return out
+
+
+def _named(attributes: str) -> int:
+    """1 if a class, id or role is made of words for content, -1 if one is of words for boilerplate."""
+    kind = 0
+    for names in _NAMES.findall(attributes):
+        for name in names.lower().split():
+            words = set(_WORD.findall(name))
+            if words and words <= BOILERPLATE_NAMES:
+                return -1
+            if words and words <= CONTENT_NAMES:
+                kind = 1
+    return kind
+
+
 def blocks(page: str | None) -> list[Block]:
-    """The text blocks of a page in order; scripts, styles and comments are none."""
+    """The text blocks of a page in order; scripts, styles and comments are none.
+
+    An ``article`` or ``main`` is content wherever it stands, unless its own names say otherwise.
+    """
     out: list[Block] = []
     stack: list[tuple[str, int, int]] = [("", 0, 0)]  # tag, number, kind
     text: list[str] = []
@@ -81,7 +126,14 @@ def blocks(page: str | None) -> list[Block]:
                 out.append(Block(whole, tuple(s[1] for s in stack), stack[-1][0], stack[-1][2], min(linked, len(whole))))
         linked = 0
 
-    for m in _TOKEN.finditer(page or ""):
+    tokens = list(_TOKEN.finditer(page or ""))
+    hidden, resume = _hidden(tokens), 0
+    for i, m in enumerate(tokens):
+        if i < resume:
+            continue
+        if i in hidden:
+            resume = hidden[i] + 1
+            continue
         words = m.group(5)
         if words is not None:
             text.append(words)
@@ -113,16 +165,14 @@ def blocks(page: str | None) -> list[Block]:
         number += 1
         kind = stack[-1][2]
         attributes = m.group(4)
-        if kind >= 0 and (tag in BOILERPLATE_TAGS or (tag == "header" and kind == 0)):
-            kind = -1
-        elif kind >= 0 and tag in ("article", "main"):
-            kind = 1
-        if kind >= 0 and attributes and tag not in ("html", "body"):
-            named = {w for n in _NAMES.findall(attributes) for w in _WORD.findall(n.lower())}
-            if named & BOILERPLATE_NAMES:
+        named = _named(attributes) if attributes and tag not in ("html", "body") else 0
+        if tag in ("article", "main"):
+            kind = 1 if named >= 0 else -1
+        elif kind >= 0:
+            if tag in BOILERPLATE_TAGS or (tag == "header" and kind == 0):
                 kind = -1
-            elif named & CONTENT_NAMES:
-                kind = 1
+            else:
+                kind = named or kind
         stack.append((tag, number, kind))
     flush()
     for b in out:

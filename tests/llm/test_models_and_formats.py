@@ -122,6 +122,31 @@ def test_main_text_of_a_page():
     assert main_text(PAGE, np.zeros(8), CutRule()) == want
 
 
+ARTICLE = "<article><h1>Title</h1><p>A whole story, told at length.</p></article>"
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        '<svg class="icon"/>%s',
+        "<canvas/>%s<canvas>no</canvas>",
+        "<div><object data='x'></div>%s<object>no</object>",
+        "<button>%s<p><button>no</button></p>",
+        "<svg><title/><style/></svg>%s",
+        "<title-bar>%s",
+        "<video><source src='x'>no</video>%s",
+        "<svg><svg>no</svg>no</svg>%s<script>var no = 1</script >",
+        '<div class="has-sidebar">%s</div>',
+        '<div class="search-results with-comments" id="social-story-page">%s</div>',
+        '<div class="sidebar"><div>%s</div></div>',
+        "<form><main>%s</main></form>",
+        '<div class="notice">no</div>%s<article class="related">no</article>',
+    ],
+)
+def test_an_article_is_kept_whatever_stands_around_it(page):
+    assert main_text(page % ARTICLE, np.zeros(8), CutRule()) == "Title\nA whole story, told at length."
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "plain", "<p>a</", "<!--", "<script>x", "<a href='", "&amp", "<div>" * 3000 + "x"])
 def test_broken_pages_do_no_harm(page):
     assert isinstance(main_text(page, np.zeros(8), CutRule()), str)
