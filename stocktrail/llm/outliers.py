@@ -57,13 +57,15 @@ def text_counts(docs: DataFrame, *carried: str) -> DataFrame:
 
 #: Of the documents passing the base rules, these are the statistics; each with the least
 #: deviation that counts as one, so that a statistic that most documents share (no symbols at
-#: all, say) does not turn any other value into an outlier.
+#: all, say) does not turn any other value into an outlier. They are small enough that, where all
+#: others have none, symbols in one character of 17, a repeated line for every 7 words, and repeats
+#: of a fifth of the words each pass the cutoff alone.
 STATISTICS = {
-    "v0": ("ln(1.0D + n_words)", 0.6),
-    "v1": ("ln(word_chars / n_words)", 0.25),
-    "v2": ("ln(1.0D + 200.0D * n_symbols / word_chars)", 1.0),
-    "v3": ("ln(1.0D + 50.0D * n_dup_lines / n_words)", 0.6),
-    "v4": ("ln(1.0D + 10.0D * n_repeat_words / n_words)", 0.4),
+    "v0": ("ln(1.0D + n_words)", 0.4),
+    "v1": ("ln(word_chars / n_words)", 0.2),
+    "v2": ("ln(1.0D + 200.0D * n_symbols / word_chars)", 0.5),
+    "v3": ("ln(1.0D + 50.0D * n_dup_lines / n_words)", 0.4),
+    "v4": ("ln(1.0D + 10.0D * n_repeat_words / n_words)", 0.2),
 }
 NAMES = list(STATISTICS)
 D = len(NAMES)
@@ -76,7 +78,8 @@ class Rule:
 
     share: float = 0.75
     steps: int = 4
-    cutoff: float = 40.0
+    #: Of a normal sample in five dimensions, one in 10,000 is farther (chi-square, 0.9999).
+    cutoff: float = 25.745
     least: int = 60
     #: Makes the covariance of the middle 75 % of a normal sample in five dimensions unbiased.
     consistency: float = 1.41

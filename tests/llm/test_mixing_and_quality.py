@@ -107,6 +107,22 @@ def test_far_documents_go_and_usual_ones_stay(table):
     assert not any(kept[d[0]] for d in odd)
 
 
+def test_one_odd_statistic_is_enough(table):
+    """Documents of usual length and words, but for one thing."""
+    draw = random.Random(3)
+    docs = [(i, prose(draw, int(draw.lognormvariate(5, 0.6)) + 12)) for i in range(400)]
+    signs = [(1000, " ".join("".join(draw.choices("#*$%&|<>", k=5)) for _ in range(150)))]
+    some = [(1001, " ".join(prose(draw, 1)[:-1] + draw.choice("#*$%") for _ in range(150)))]
+    lines = [(1002, "\n".join(prose(draw, 4) + "\nRead more" for _ in range(30)))]
+    passage = prose(draw, 14)
+    repeats = [(1003, " ".join([passage, prose(draw, 112), passage]))]
+    odd = signs + some + lines + repeats
+    rows = {r.doc_id: r for r in quality(table([(*d, "en", "a") for d in docs + odd])).collect()}
+    assert [rows[d].base_failed for d, _ in odd] == [False] * 4
+    assert [rows[d].kept for d, _ in odd] == [False] * 4
+    assert sum(rows[d].kept for d, _ in docs) >= 398
+
+
 def test_too_few_documents_are_not_judged(table):
     draw = random.Random(6)
     docs = [(i, prose(draw, 30), "en", f"s{i}") for i in range(20)] + [(99, "#" * 900 + " " + prose(draw, 20), "fr", "s")]
