@@ -26,7 +26,6 @@ from stocktrail.operators.series import (
 from stocktrail.plans.standins import PERIOD, Tables
 
 LO, HI = PERIOD
-MONTH = (dt.date(2024, 1, 1), dt.date(2024, 1, 30))
 
 # Joins
 
@@ -159,13 +158,23 @@ def _daily(t: Tables) -> DataFrame:
     )
 
 
+def _grid(t: Tables, **more) -> DataFrame:
+    """Every user on every day from the first event's to the last one's; no rows without any."""
+    lo, hi = t.events.agg(F.min(day("ts")), F.max(day("ts"))).first()
+    users = t.events
+    if lo is None:
+        lo = hi = dt.date(1970, 1, 1)
+        users = users.limit(0)
+    return densify(users, ["user_id"], lo, hi, **more)
+
+
 def _dense(t: Tables) -> DataFrame:
-    return densify(t.events, ["user_id"], *MONTH, facts=_daily(t))
+    return _grid(t, facts=_daily(t))
 
 
 @query("J7", f"{_GRID} SELECT user_id, {on('d')} AS date FROM grid")
 def every_user_on_every_day(t: Tables) -> DataFrame:
-    return densify(t.events, ["user_id"], *MONTH)
+    return _grid(t)
 
 
 @query(
@@ -175,7 +184,7 @@ def every_user_on_every_day(t: Tables) -> DataFrame:
 )
 def every_user_on_days_of_a_table(t: Tables) -> DataFrame:
     big = t.events.where((F.col("event_type") == "purchase") & (F.col("value") > 40))
-    return densify(t.events, ["user_id"], *MONTH, days=big.select(day("ts").alias("date")))
+    return _grid(t, days=big.select(day("ts").alias("date")))
 
 
 @query("J8 J7", f"{_GRID} SELECT user_id, {on('d')} AS date, n, errors FROM dense")
