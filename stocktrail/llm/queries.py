@@ -15,8 +15,11 @@ from stocktrail.llm import (
     mixing,
     outliers,
     packing,
+    pivotal_grams,
+    prefix_trie,
     reply_trees,
     toxicity,
+    trie_and_variants_sql,
 )
 from stocktrail.llm.shingle_join import jaccard_components
 
@@ -129,3 +132,13 @@ def op9_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
 @register()
 def op10_quality_outliers(spark: SparkSession, folder: str) -> DataFrame:
     return outliers.quality(_table(spark, folder, "documents"))
+
+
+@register(trie_and_variants_sql.TRIE)
+def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie.conversation_trie(_table(spark, folder, "conversations"))
+
+
+@register(trie_and_variants_sql.VARIANTS)
+def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return pivotal_grams.spelling_variants(_table(spark, folder, "documents"))
