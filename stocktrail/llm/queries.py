@@ -12,6 +12,7 @@ from stocktrail.llm import (
     exact_dedup,
     hmm,
     html_cut,
+    language_crf,
     mixing,
     outliers,
     packing,
@@ -139,6 +140,11 @@ def op11_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie.conversation_trie(_table(spark, folder, "conversations"))
 
 
+@register()
+def op12_language_crf(spark: SparkSession, folder: str) -> DataFrame:
+    return language_crf.languages(_table(spark, folder, "documents"))
+
+
 @register(trie_and_variants_sql.VARIANTS)
 def op13_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
     return pivotal_grams.spelling_variants(_table(spark, folder, "documents"))
