@@ -51,6 +51,21 @@ def best_pattern(worth: np.ndarray, sizes: np.ndarray, room: int) -> tuple[float
     return float(best[room]), pattern
 
 
+def inverted(matrix: np.ndarray) -> np.ndarray:
+    """The inverse by elimination, a vector operation per row: the threads of a linear algebra
+    library have been seen to stall within Spark's driver."""
+    n = len(matrix)
+    both = np.concatenate([matrix, np.eye(n)], axis=1)
+    for i in range(n):
+        pivot = i + int(np.abs(both[i:, i]).argmax())
+        both[[i, pivot]] = both[[pivot, i]]
+        both[i] /= both[i, i]
+        factor = both[:, i].copy()
+        factor[i] = 0
+        both -= factor[:, None] * both[i]
+    return both[:, n:]
+
+
 def solve_patterns(
     sizes: np.ndarray, demand: np.ndarray, room: int, gap: float = 2e-3, rounds: int = 5000
 ) -> tuple[np.ndarray, np.ndarray]:
@@ -64,15 +79,15 @@ def solve_patterns(
     bound = 0.0
     for turn in range(rounds):
         if turn % 250 == 249:
-            inverse = np.linalg.inv(basis)
-        x = inverse @ demand
+            inverse = inverted(basis)
+        x = (inverse * demand).sum(axis=1)
         price = inverse.sum(axis=0)
         worth, pattern = best_pattern(np.maximum(price, 0), sizes, room)
-        cost = price @ demand
+        cost = float((price * demand).sum())
         bound = max(bound, cost / worth)  # dual prices, scaled so that no pattern is worth over 1
         if worth <= 1 + 1e-9 or cost <= (1 + gap) * bound:
             break
-        turnout = inverse @ pattern
+        turnout = (inverse * pattern).sum(axis=1)
         with np.errstate(divide="ignore", invalid="ignore"):
             ratio = np.where(turnout > 1e-9, np.maximum(x, 0) / turnout, np.inf)
         out = int(ratio.argmin())
@@ -80,7 +95,7 @@ def solve_patterns(
         row = inverse[out] / turnout[out]
         inverse -= np.outer(turnout, row)
         inverse[out] = row
-    return basis, np.maximum(np.linalg.solve(basis, demand), 0)
+    return basis, np.maximum((inverted(basis) * demand).sum(axis=1), 0)
 
 
 def fullest(size: np.ndarray, left: np.ndarray, room: int, pattern: np.ndarray) -> None:

@@ -10,8 +10,8 @@ Sizes go by bands of a factor two, each band with segments of its own. Pairs are
 band of the smaller set; a set that may be the larger partner of a smaller band is signed there
 too. In each band the allocation gives two units to a fixed few segments, which are indexed with
 their one-deletion neighbourhoods where sets are so small that this is cheap, one unit to as many
-other segments as the distance still asks for, the rarest by counts over the whole corpus first,
-and none to the rest. As that order is the same for all sets, two sets within the distance share a
+other segments as the distance still asks for, the rarest first, by sums of what each task counts
+of its frequent keys, and none to the rest. As that order is the same for all sets, two sets within the distance share a
 key among those that both index. All candidates are then verified on their whole sets.
 """
 
@@ -35,8 +35,10 @@ HOT_KEYS = 1 << 18
 BLOCK = 4096
 #: Pairs of one task that are held to give each out once.
 MOST_PAIRS = 500_000
-#: A key is counted where it occurs so often among the documents of one Arrow batch.
-HOT_IN_BATCH = 4
+#: A task counts the keys that occur so often among so many keys, one after another.
+OFTEN, HELD_KEYS = 4, 1 << 20
+#: Places of the table by which a task tells keys that are not frequent.
+HOT_BITS = 1 << 22
 #: Bits of the filter of candidate ids, as words of 64: at most 2 MB as a table, proven.
 FILTER_WORDS = 1 << 17
 
@@ -64,6 +66,57 @@ class Jaccard:
         return bool(both) and self.den * both >= self.num * (a.size + b.size - both)
 
 
+class Hot:
+    """How often the frequent keys occur. A table of bits by the keys' low ends tells most others
+    apart before any search."""
+
+    def __init__(self, keys: np.ndarray, counts: np.ndarray):
+        order = np.argsort(keys)
+        self.keys, self.counts = keys[order], counts[order]
+        self.maybe = np.zeros(HOT_BITS, dtype=bool)
+        self.maybe[(keys & U64(HOT_BITS - 1)).astype(np.int64)] = True
+
+    def counts_of(self, key: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(key), dtype=np.int64)
+        may = np.flatnonzero(self.maybe[(key & U64(HOT_BITS - 1)).astype(np.int64)])
+        if len(may):
+            at = np.minimum(np.searchsorted(self.keys, key[may]), len(self.keys) - 1)
+            out[may] = np.where(self.keys[at] == key[may], self.counts[at], 0)
+        return out
+
+
+class _Often:
+    """Counts of the keys of one task in bounded memory: of each run of ``HELD_KEYS`` keys those
+    that came ``OFTEN`` times or more in it, or had before, are kept on."""
+
+    def __init__(self) -> None:
+        self.held: list[np.ndarray] = []
+        self.size = 0
+        self.keys, self.counts = np.zeros(0, np.uint64), np.zeros(0, np.int64)
+
+    def add(self, keys: np.ndarray) -> None:
+        self.held.append(keys)
+        self.size += len(keys)
+        if self.size > HELD_KEYS:
+            self.settle()
+
+    def settle(self) -> None:
+        new, n = np.unique(np.concatenate([np.zeros(0, np.uint64), *self.held]), return_counts=True)
+        self.held, self.size = [], 0
+        if len(self.keys) and len(new):
+            at = np.minimum(np.searchsorted(self.keys, new), len(self.keys) - 1)
+            known = self.keys[at] == new
+            self.counts[at[known]] += n[known]
+            new, n = new[~known], n[~known]
+        keep = n >= OFTEN
+        keys, counts = np.concatenate([self.keys, new[keep]]), np.concatenate([self.counts, n[keep]])
+        if len(keys) > HOT_KEYS:
+            most = np.argsort(-counts, kind="stable")[:HOT_KEYS]
+            keys, counts = keys[most], counts[most]
+        order = np.argsort(keys)
+        self.keys, self.counts = keys[order], counts[order]
+
+
 def _band(size: int) -> int:
     return size.bit_length() - 1
 
@@ -93,16 +146,15 @@ def _segments(rule: Jaccard, band: int, shingle: np.ndarray):
     return twos, ones, segment
 
 
-def _subsets(band: int, segment: np.ndarray, shingle: np.ndarray, count: int):
-    """(segments that are not empty, sizes, sums of mixed elements, elements): a key is a mix of
-    a sum, so that a deletion is a subtraction."""
+def _subsets(segment: np.ndarray, element: np.ndarray, count: int):
+    """(segments that are not empty, sizes, sums of their elements): a key is a mix of a sum, so
+    that a deletion is a subtraction."""
+    total = np.zeros(count, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        element = mix(shingle ^ PLACES[50])
-        total = np.zeros(count, dtype=np.uint64)
         np.add.at(total, segment, element)
     size = np.bincount(segment, minlength=count)
     full = np.flatnonzero(size)
-    return full, size[full], total, element
+    return full, size[full], total
 
 
 def _keys(band: int, segments: np.ndarray, sums: np.ndarray) -> np.ndarray:
@@ -112,19 +164,21 @@ def _keys(band: int, segments: np.ndarray, sums: np.ndarray) -> np.ndarray:
 
 def _all_keys(rule: Jaccard, shingle: np.ndarray) -> Iterator[np.ndarray]:
     """Keys of the one-unit segments that a set might index."""
+    element = mix(shingle ^ PLACES[50])
     for band, _ in _schemes(rule, int(shingle.size)):
         twos, ones, segment = _segments(rule, band, shingle)
-        full, _, total, _ = _subsets(band, segment, shingle, twos + ones)
+        full, _, total = _subsets(segment, element, twos + ones)
         full = full[full >= twos]
         yield _keys(band, full, total[full])
 
 
-def signatures(rule: Jaccard, shingle: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Keys under which a set is indexed, distinct. ``hot``: sorted frequent keys, their counts."""
+def signatures(rule: Jaccard, shingle: np.ndarray, hot: Hot) -> np.ndarray:
+    """Keys under which a set is indexed. They differ but for chance and some deletions."""
     out = []
+    element = mix(shingle ^ PLACES[50])
     for band, most in _schemes(rule, int(shingle.size)):
         twos, ones, segment = _segments(rule, band, shingle)
-        full, size, total, element = _subsets(band, segment, shingle, twos + ones)
+        full, size, total = _subsets(segment, element, twos + ones)
         if twos:
             first = np.arange(twos)
             out.append(_keys(band, first, total[:twos]))
@@ -137,51 +191,41 @@ def signatures(rule: Jaccard, shingle: np.ndarray, hot: tuple[np.ndarray, np.nda
             full, size = full[one], size[one]
             key = _keys(band, full, total[full])
             # Rare first, then large; the key settles ties, the same way for every set.
-            out.append(key[np.lexsort((key, -size, _counts_of(key, hot)))[:need]])
+            out.append(key[np.lexsort((key, -size, hot.counts_of(key)))[:need]])
             if len(full) < need:
                 # Empty segments come last, in their own order.
                 empty = np.setdiff1d(np.arange(twos, twos + ones), full)
                 out.append(_keys(band, empty[: need - len(full)], total[empty[: need - len(full)]]))
-    return np.unique(np.concatenate(out))
-
-
-def _counts_of(key: np.ndarray, hot: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    keys, counts = hot
-    if not len(keys):
-        return np.zeros(len(key), dtype=np.int64)
-    at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
-    return np.where(keys[at] == key, counts[at], 0)
+    return np.concatenate(out)
 
 
 def _sizes_and_counts(rule: Jaccard):
-    """Rows (doc_id, n_shingles, NULL), and (NULL, count, key) of keys frequent in a batch."""
+    """Rows (doc_id, n_shingles, NULL), and (NULL, count, key) of keys frequent in a task."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = _Often()
         for batch in batches:
             size = np.zeros(batch.num_rows, dtype=np.int64)
-            held = []
             for part in slices(batch.column(1)):
                 for i, shingle in enumerate(shingles(part, rule.words), part.first):
                     size[i] = shingle.size
                     if shingle.size:
-                        held += _all_keys(rule, shingle)
+                        for keys in _all_keys(rule, shingle):
+                            often.add(keys)
             yield pa.record_batch(
                 [batch.column(0), pa.array(size), pa.nulls(batch.num_rows, pa.int64())],
                 names=["doc_id", "n_shingles", "key"],
             )
-            if held:
-                keys, counts = np.unique(np.concatenate(held), return_counts=True)
-                often = counts >= HOT_IN_BATCH
-                columns = [pa.array(counts[often].astype(np.int64)), pa.array(keys[often].view(np.int64))]
-                none = pa.nulls(int(often.sum()), pa.int64())
-                yield pa.record_batch([none, *columns], names=["doc_id", "n_shingles", "key"])
+        often.settle()
+        columns = [pa.nulls(len(often.keys), pa.int64()), pa.array(often.counts), pa.array(often.keys.view(np.int64))]
+        yield pa.record_batch(columns, names=["doc_id", "n_shingles", "key"])
 
     return run
 
 
 def _signed(rule: Jaccard, hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = hot.value
+        known = Hot(*hot.value)
         for batch in batches:
             for part in slices(batch.column(1)):
                 keys = [
@@ -401,9 +445,8 @@ def jaccard_components(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
         .limit(HOT_KEYS)
         .toPandas()
     )
-    hot_keys = often["key"].to_numpy(dtype=np.int64).view(np.uint64)
-    order = np.argsort(hot_keys)
-    known = spark.sparkContext.broadcast((hot_keys[order], often["n"].to_numpy(dtype=np.int64)[order]))
+    hot = often["key"].to_numpy(dtype=np.int64).view(np.uint64), often["n"].to_numpy(dtype=np.int64)
+    known = spark.sparkContext.broadcast(hot)
     keys = (
         docs.where("doc_id is not null")
         .mapInArrow(_signed(rule, known), "doc long, keys array<bigint>")

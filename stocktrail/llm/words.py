@@ -1,9 +1,9 @@
 """Words of many texts at once, as 64-bit hashes, straight from Arrow's text buffers.
 
 A word is a run of bytes outside ``\\x20 \\x09-\\x0D``; A-Z is lower-cased first, nothing else. Hashes
-are sums of per-byte constants times powers of an odd base (mod 2^64), then mixed, so that each
-word costs two look-ups in a running sum whatever its length. All constants come from one seed,
-the same in every process.
+are sums of a random value per byte and place in the word, then mixed with the length, so that each
+word costs two look-ups in a running sum whatever its length. Two different words share a hash by
+chance alone, once in 2^64. All constants come from one seed, the same in every process.
 """
 
 from __future__ import annotations
@@ -22,10 +22,6 @@ def _odd(n: int) -> np.ndarray:
     return _rng.integers(0, 2**63, n, dtype=np.uint64) * U64(2) + U64(1)
 
 
-_BASE = int(_odd(1)[0]) | 5
-_BASE_INVERSE = pow(_BASE, -1, 2**64)
-_BYTE = _odd(256)
-_BYTE[65:91] = _BYTE[97:123]  # A-Z as a-z
 _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 #: Kinds of bytes: ASCII letters, digits, all else in ASCII; 0 is space and what is not ASCII.
@@ -48,25 +44,19 @@ def mix(h: np.ndarray) -> np.ndarray:
         return h ^ (h >> U64(31))
 
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+#: Places in a word whose values are kept; those behind are made when they come.
+_KEPT = 32
+_SEED = _odd(1)[0]
+_LOWER = np.arange(256, dtype=np.uint8)
+_LOWER[65:91] = _LOWER[97:123]
 
 
-def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    size = 1 << max(16, int(n).bit_length())
-    if size not in _powers:
-        if size > 8 * SLICE_BYTES:  # of one very long text: made for it and let go
-            return _make_powers(size)
-        _powers[size] = _make_powers(size)
-    return _powers[size]
+def _value(byte: np.ndarray, place: np.ndarray) -> np.ndarray:
+    with np.errstate(over="ignore"):
+        return mix((place.astype(U64) << U64(8) | _LOWER[byte]) * U64(0x9E3779B97F4A7C15) + _SEED)
 
 
-def _make_powers(size: int) -> tuple[np.ndarray, np.ndarray]:
-    out = []
-    for base in (_BASE, _BASE_INVERSE):
-        p = np.full(size, base, dtype=np.uint64)
-        p[0] = 1
-        out.append(np.multiply.accumulate(p))
-    return out[0], out[1]
+_VALUES = _value(np.tile(np.arange(256), _KEPT), np.repeat(np.arange(_KEPT), 256))
 
 
 @dataclass
@@ -91,9 +81,10 @@ class Slice:
 
 
 def _span_hash(sums: np.ndarray, starts: np.ndarray, stops: np.ndarray, salt=U64(0)) -> np.ndarray:
+    """Hashes of spans that each begin where a word does."""
     with np.errstate(over="ignore"):
-        inverse = _power_tables(len(sums))[1]
-        return mix((sums[stops] - sums[starts]) * inverse[starts] + salt * PLACES[63])
+        size = (stops - starts).astype(U64)
+        return mix(sums[stops] - sums[starts] + size * PLACES[61] + salt * PLACES[63])
 
 
 def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -143,9 +134,14 @@ def _words(data: np.ndarray, offsets: np.ndarray, first: int, parts: bool) -> Sl
         begins[1:] |= meet
         ends[:-1] |= meet
     starts, stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
+    at = np.arange(n)
+    place = at - np.maximum.accumulate(np.where(begins, at, 0)) if n else at
+    value = _VALUES[np.minimum(place, _KEPT - 1) << 8 | data]
+    far = np.flatnonzero((place >= _KEPT) & ~space)
+    value[far] = _value(data[far], place[far])
+    sums = np.zeros(n + 1, dtype=np.uint64)
     with np.errstate(over="ignore"):
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(_BYTE[data] * _power_tables(n + 1)[0][:n], out=sums[1:])
+        np.cumsum(value, out=sums[1:])
     upto = np.searchsorted(starts, edges, "left")
     return Slice(
         first=first,

@@ -81,7 +81,7 @@ def test_linked_sets_share_a_key_whatever_is_frequent():
                 continue
             every = np.unique(np.concatenate([k for s in (base, other) for k in shingle_join._all_keys(rule, s)]))
             some = np.sort(rng.choice(every, every.size // 2, replace=False))
-            hot = (some, rng.integers(1, 9, some.size))
+            hot = shingle_join.Hot(some, rng.integers(1, 9, some.size))
             assert np.intersect1d(signatures(rule, base, hot), signatures(rule, other, hot)).size
 
 
