@@ -481,8 +481,17 @@ def jaccard_components(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
     members = written(members, "members")
     split = (
         members.groupBy("key")
-        .agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
+        .agg(
+            F.min("component").alias("x"),
+            F.max("component").alias("y"),
+            F.count("*").alias("n"),
+            F.bit_xor(F.xxhash64("doc")).alias("these"),
+            F.bit_xor(F.xxhash64(F.lit(1), "doc")).alias("docs"),
+        )
         .where("x != y and n > 2")
+        # Of keys held by the same documents, as a shared passage makes many, one will do.
+        .groupBy("n", "these", "docs")
+        .agg(F.min("key").alias("key"))
         .select("key", "n")
     )
     # Whatever the key's size, a cell has two blocks of documents at most. Documents that share one
