@@ -103,77 +103,72 @@ seller AS (SELECT s_suppkey, s_nationkey, country_code, ordering_region FROM sup
   JOIN country ON country_code = n_name)"""
 
 
-def products_sql(by_name: bool) -> str:
-    code = "'B0' || p_name" if by_name else "'B0' || p_partkey"
-    parent = "'B0 ' || vendor_name" if by_name else "'B0' || (p_partkey - p_partkey % 10)"
-    number = "length(p_name)" if by_name else "p_partkey"
-    return f"""{REGIONS},
-catalogue AS (SELECT *, {code} AS product_id, split_part(p_name, ' ', 2) AS vendor_name,
+PRODUCTS = f"""{REGIONS},
+catalogue AS (SELECT *, 'B0' || p_partkey AS product_id, split_part(p_name, ' ', 2) AS vendor_name,
   CAST(length(split_part(p_name, ' ', 2)) AS bigint) AS vendor_id FROM part),
 sold AS (SELECT DISTINCT ordering_region, vendor_id, vendor_name AS brand, product_id
   FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN catalogue ON l_partkey = p_partkey JOIN seller ON l_suppkey = s_suppkey
   WHERE o_orderstatus <> 'P' AND CAST(o_orderdate AS DATE) > DATE '{LO}' - 365 AND l_extendedprice > 0),
-parent AS (SELECT DISTINCT ordering_region, product_id, {parent} AS parent_id FROM catalogue
-  JOIN country ON country_code = 'NATION_' || ({number} % 25) WHERE p_size > 20),
+parent AS (SELECT DISTINCT ordering_region, product_id, 'B0' || (p_partkey - p_partkey % 10) AS parent_id FROM catalogue
+  JOIN country ON country_code = 'NATION_' || (p_partkey % 25) WHERE p_size > 20),
 product AS (SELECT s.ordering_region, s.brand, coalesce(p.parent_id, s.product_id) AS parent_id, s.product_id
   FROM sold s LEFT JOIN parent p ON p.product_id = s.product_id AND p.ordering_region = s.ordering_region)"""
 
-
+# An item's reserve: its weeks of supply times the mean forecast of its shop's lines near the day.
 RESERVE = f"""
-week AS (SELECT l_partkey AS master_id, CASE l_returnflag WHEN 'A' THEN 'Amazon' WHEN 'N' THEN 'Shop' ELSE 'Outlet' END AS shop,
-    l_quantity + CASE WHEN l_linestatus = 'O' THEN 1 ELSE 0 END
-    + CASE WHEN l_linestatus = 'O' THEN 0 ELSE round(l_discount * 100) END + round(l_tax * 100) AS forecast
-  FROM lineitem JOIN seller ON l_suppkey = s_suppkey
-  WHERE ordering_region = 'AMERICA' AND CAST(l_shipdate AS DATE) BETWEEN DATE '{WEEK_OF}' - 7 AND DATE '{WEEK_OF}' + 21),
-mean AS (SELECT master_id, shop, avg(forecast) AS forecast FROM week WHERE shop NOT IN ('Amazon', 'Walmart') GROUP BY 1, 2),
-file AS (SELECT p_partkey AS master_id, CASE WHEN p_type = 'MEDIUM' THEN 'Walmart' WHEN p_type IN ('SMALL', 'PROMO', 'ECONOMY')
-    THEN 'Shop' ELSE 'Outlet' END AS shop, CASE WHEN p_size > 10 THEN p_size END AS extra, p_size * 2 AS safety
-  FROM part WHERE p_size <= 40),
-prep AS (SELECT file.master_id, coalesce(extra, safety) AS weeks, sum(forecast) AS forecast FROM file
-  LEFT JOIN mean ON mean.master_id = file.master_id AND mean.shop = file.shop
-  WHERE file.shop NOT IN ('Amazon', 'Walmart') GROUP BY file.master_id, file.shop, extra, safety),
-reserve AS (SELECT master_id, sum(weeks * forecast) AS reserve FROM prep GROUP BY 1)"""
-
-
-def inventory_sql(by_name: bool) -> str:
-    """The grouping above a plain full outer join, and the two arms as written."""
-    names = ", ".join(I.QUANTITIES)
-
-    def arm(how: str, condition: str) -> str:
-        columns = ", ".join(f"{how}({c}) AS {c}" for c in I.QUANTITIES)
-        return f"""SELECT product_id, ordering_region, date, {columns}, {how}(available_fbm) + {how}(available_fba) AS total_available,
-          min(first_date) AS first_date, max(wholesale_price) AS wholesale_price, max(brand) AS brand
-          FROM grouped WHERE {condition} GROUP BY 1, 2, 3"""
-
-    return f"""{products_sql(by_name)}, {RESERVE},
-stock AS (SELECT product_id AS listing, CASE WHEN p_type <> 'LARGE' THEN p_partkey END AS master_id, country_code,
-    CAST(l_shipdate AS DATE) AS date, CASE WHEN l_linenumber = 1 THEN 'Walmart' ELSE 'Amazon' END AS marketplace,
-    CASE WHEN l_returnflag = 'A' THEN 'PanEU store' WHEN l_returnflag = 'R' AND l_linenumber < 7 THEN 'Narf remote'
-      WHEN l_returnflag = 'R' THEN 'Local' END AS program,
-    CAST(l_quantity AS bigint) AS stow, CASE WHEN l_linestatus = 'O' THEN l_linenumber * 2 END AS fba, l_linenumber AS inb,
-    CAST(l_quantity AS bigint) * 2 AS total, CASE WHEN l_discount > 0 THEN CAST(round(l_discount * 100) AS bigint) END AS transfer,
-    l_linenumber % 3 AS processing, CAST(round(l_tax * 100) AS bigint) AS ordered, CAST(round(l_discount * 100) AS bigint) AS warehouse_p,
-    p_retailprice AS price, vendor_name, CASE WHEN p_type <> 'PROMO' THEN p_brand = 'Brand#3' END AS gone
-  FROM lineitem JOIN catalogue ON l_partkey = p_partkey JOIN seller ON l_suppkey = s_suppkey),
-listing AS (SELECT DISTINCT product_id AS page, unnest(CASE WHEN p_size > 40 THEN ['FBM', 'FBA'] WHEN p_size > 20 THEN ['FBM'] ELSE ['FBA'] END) AS kind
-  FROM catalogue),
-grouped AS (
-  SELECT p.product_id, p.ordering_region, i.date, i.marketplace, i.program,
-    sum(CASE WHEN kind = 'FBM' THEN coalesce(stow, 0) ELSE 0 END) AS available_fbm, sum(coalesce(fba, 0)) AS available_fba,
-    min(i.date) OVER (PARTITION BY p.product_id, p.ordering_region) AS first_date,
-    sum(coalesce(inb, 0) + coalesce(total, 0) + coalesce(transfer, 0) + coalesce(processing, 0)) AS total_coming_inventory,
-    sum(coalesce(transfer, 0)) AS reserved_transfer, sum(coalesce(processing, 0)) AS reserved_processing,
-    sum(coalesce(total, 0)) AS warehouse_total, sum(coalesce(inb, 0)) AS inbound, max(coalesce(price, 0)) AS wholesale_price,
-    max(i.vendor_name) AS brand, sum(coalesce(ordered, 0)) AS on_order, sum(coalesce(warehouse_p, 0)) AS warehouse_processing,
-    sum(coalesce(reserve, 0)) AS reserve
-  FROM stock i JOIN country o ON o.country_code = i.country_code
-    JOIN product p ON p.ordering_region = o.ordering_region AND p.product_id = i.listing
-    LEFT JOIN listing ON page = i.listing FULL JOIN reserve d ON d.master_id = i.master_id
-  WHERE i.date >= DATE '{LO}' AND i.date <= DATE '{HI}' AND p.product_id ILIKE 'B0%' AND upper(i.marketplace) ILIKE '%amazon%'
-    AND gone = false OR gone IS NULL
-  GROUP BY 1, 2, 3, 4, 5),
-inventory AS ({arm('max', "program ILIKE '%paneu%'")}
-  UNION {arm('sum', "program ILIKE '%narf%' OR program IS NULL")})"""
+planned AS (SELECT p_partkey AS master_id, p_type IN ('SMALL', 'PROMO', 'ECONOMY') AS in_shop,
+  if(p_size > 10, p_size, 2 * p_size) AS weeks FROM part WHERE p_size <= 40 AND p_type <> 'MEDIUM'),
+demand AS (SELECT l_partkey, l_returnflag = 'N' AS in_shop,
+    avg(l_quantity + if(l_linestatus = 'O', 1, round(l_discount * 100)) + round(l_tax * 100)) AS units
+  FROM lineitem SEMI JOIN (SELECT s_suppkey FROM seller WHERE ordering_region = 'AMERICA') ON l_suppkey = s_suppkey
+  WHERE l_returnflag <> 'A' AND date_diff('day', DATE '{WEEK_OF}', CAST(l_shipdate AS DATE)) BETWEEN -7 AND 21 GROUP BY ALL),
+reserve AS (SELECT master_id, weeks * units AS reserve FROM planned n LEFT JOIN demand d ON l_partkey = master_id AND d.in_shop = n.in_shop)"""
+
+# What each stored line adds to a quantity, before it counts once per product row and listing.
+_ADDS = {
+    "available_fba": "if(l_linestatus = 'O', 2 * l_linenumber, 0)",
+    "total_coming_inventory": "l_linenumber + 2 * units + cents + l_linenumber % 3",
+    "reserved_transfer": "cents",
+    "reserved_processing": "l_linenumber % 3",
+    "warehouse_total": "2 * units",
+    "inbound": "l_linenumber",
+    "on_order": "round(l_tax * 100)",
+    "warehouse_processing": "round(l_discount * 100)",
+    "reserve": "coalesce(reserve, 0)",
+}
+
+
+def _inventory_sql() -> str:
+    """Lines weighed by product rows and listings, instead of joined to them; reserves no line asks
+    for added by an anti join; one pass for both programs."""
+    added = ", ".join(f"sum(({_ADDS[c]}) * copies) AS {c}" for c in I.QUANTITIES if c != "available_fbm")
+    lonely = ", ".join("sum(coalesce(reserve, 0))" if c == "reserve" else "0" for c in I.QUANTITIES if c != "available_fbm")
+    either = lambda c: f"if(narrow, sum({c}), max({c}))"
+    columns = ", ".join(f"{either(c)} AS {c}" for c in I.QUANTITIES)
+    return f"""{PRODUCTS}, {RESERVE},
+kind AS (SELECT ordering_region, product_id, count(*) * any_value(if(p_size > 40, 2, 1)) AS copies,
+    count(*) * any_value(if(p_size > 20, 1, 0)) AS own_copies FROM product JOIN catalogue USING (product_id) GROUP BY ALL),
+stored AS (SELECT l.*, c.*, k.*, CAST(l_quantity AS bigint) AS units, CAST(round(l_discount * 100) AS bigint) AS cents,
+    CAST(l_shipdate AS DATE) AS date, if(p_type = 'LARGE', NULL, p_partkey) AS master_id,
+    if(p_type = 'PROMO', NULL, p_brand = 'Brand#3') AS gone, l_linenumber <> 1 AS retail,
+    CASE WHEN l_returnflag = 'A' THEN 'wide' WHEN l_returnflag <> 'R' THEN 'none' WHEN l_linenumber < 7 THEN 'remote' ELSE 'local' END AS program
+  FROM lineitem l JOIN catalogue c ON l_partkey = p_partkey JOIN seller ON l_suppkey = s_suppkey JOIN kind k USING (product_id, ordering_region)),
+placed AS (
+  SELECT product_id, ordering_region, date, retail, program, sum(units * own_copies) AS available_fbm, {added},
+    max(p_retailprice) AS wholesale_price, max(vendor_name) AS brand
+  FROM stored LEFT JOIN reserve USING (master_id)
+  WHERE gone IS NULL OR (NOT gone AND retail AND date BETWEEN DATE '{LO}' AND DATE '{HI}') GROUP BY ALL
+  UNION ALL
+  SELECT NULL, NULL, NULL, NULL, 'none', 0, {lonely}, 0, NULL FROM reserve
+  WHERE NOT EXISTS (SELECT 1 FROM stored WHERE stored.master_id = reserve.master_id) HAVING count(*) > 0),
+dated AS (SELECT *, program <> 'wide' AS narrow, min(date) OVER (PARTITION BY product_id, ordering_region) AS first_date
+  FROM placed QUALIFY program <> 'local'),
+inventory AS (SELECT DISTINCT * EXCLUDE narrow FROM (
+  SELECT product_id, ordering_region, date, narrow, {columns}, {either('available_fbm')} + {either('available_fba')} AS total_available,
+    min(first_date) AS first_date, max(wholesale_price) AS wholesale_price, max(brand) AS brand FROM dated GROUP BY 1, 2, 3, 4))"""
+
+
+INVENTORY = _inventory_sql()
 
 
 def _whole(names: list[str]) -> str:
@@ -183,7 +178,7 @@ def _whole(names: list[str]) -> str:
     )
 
 
-@query("PIPE3 J3 A12", f"WITH {products_sql(False)} SELECT * FROM product")
+@query("PIPE3 J3 A12", f"WITH {PRODUCTS} SELECT * FROM product")
 def products(t: Tables) -> DataFrame:
     return I.products(S.daily_sales(t), S.product_parent_map(t), S.ordering_regions(t), LO)
 
@@ -197,18 +192,16 @@ def reserve_per_item(t: Tables) -> DataFrame:
     return reserve.withColumn("reserve", F.round("reserve", 4))
 
 
-def _products(t: Tables, by_name: bool) -> DataFrame:
-    return I.products(
-        S.daily_sales(t, by_name), S.product_parent_map(t, by_name), S.ordering_regions(t), LO
-    )
+def _products(t: Tables) -> DataFrame:
+    return I.products(S.daily_sales(t), S.product_parent_map(t), S.ordering_regions(t), LO)
 
 
-def _inventory(t: Tables, by_name: bool, products: DataFrame) -> DataFrame:
+def _inventory(t: Tables, products: DataFrame) -> DataFrame:
     return I.inventory(
-        S.inventory_daily(t, by_name),
+        S.inventory_daily(t),
         S.ordering_regions(t),
         products,
-        S.listings(t, by_name),
+        S.listings(t),
         I.reserve(S.forecast_weeks(t), S.ordering_files(t), WEEK_OF),
         LO,
         HI,
@@ -217,11 +210,11 @@ def _inventory(t: Tables, by_name: bool, products: DataFrame) -> DataFrame:
 
 @query(
     "PIPE5 J2 J4 J5 F8 F9 A4 A5 A6 A7 W1 S1 S3",
-    f"""WITH {inventory_sql(False)} SELECT product_id, ordering_region, {on('date')} AS date, {_whole(I.QUANTITIES)},
+    f"""WITH {INVENTORY} SELECT product_id, ordering_region, {on('date')} AS date, {_whole(I.QUANTITIES)},
       CAST(total_available AS bigint) AS total_available, {on('first_date')} AS first_date, wholesale_price, brand FROM inventory""",
 )
 def inventory_per_day(t: Tables) -> DataFrame:
-    inventory = _inventory(t, False, _products(t, False))
+    inventory = _inventory(t, _products(t))
     return inventory.withColumn("reserve", F.round("reserve", 2))
 
 
@@ -242,43 +235,56 @@ forecast AS (SELECT product_id, ordering_region, CAST(o_orderdate AS DATE) AS da
 filled AS (SELECT s.*, last_value(f IGNORE NULLS) OVER (PARTITION BY product_id, ordering_region ORDER BY date
   ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS forecast FROM spine s LEFT JOIN forecast USING (product_id, ordering_region, date))"""
 
-_SPINE_COLUMNS = f"""product_id, ordering_region, {on('date')} AS date, CAST(available_fbm AS bigint) AS available_fbm,
-  CAST(available_fba AS bigint) AS available_fba, CAST(total_available AS bigint) AS total_available, brand,
-  round(reserve, 2) AS reserve, out_of_stock, out_of_stock_7, out_of_stock_14, out_of_stock_21, out_of_stock_28"""
+# A row per product, region and day is 731 rows per product sold in a region: more than a result
+# can hold. The queries make them all and return each series' totals: its days, and of each
+# column the days it is known on, its sum, and its sum weighed by the day, which shows where in
+# the period its values lie. Means go in as whole millionths, amounts as cents.
+_FLAGS = ["out_of_stock", *[f"out_of_stock_{n}" for n in I.HORIZONS]]
+_STOCK = ["available_fbm", "available_fba", "total_available"]
+
 
-_SPINE_NAMES = [
-    *I.SERIES,
-    "date",
-    "available_fbm",
-    "available_fba",
-    "total_available",
-    "brand",
-    "reserve",
-    "out_of_stock",
-    *[f"out_of_stock_{n}" for n in I.HORIZONS],
-]
+def _totals(days: DataFrame, keys: list[str], columns: list[str], scaled: dict[str, int] | None = None) -> DataFrame:
+    scaled = scaled or {}
+    day = F.datediff("date", F.lit(LO))
+    out = [F.count("*").alias("n_days")]
+    for c in [*columns, *scaled]:
+        value = F.round(F.col(c) * scaled[c]).cast("bigint") if c in scaled else F.col(c).cast("bigint")
+        out += [F.count(c).alias(f"{c}_days"), F.sum(value).alias(f"{c}_sum"), F.sum(value * day).alias(f"{c}_by_day")]
+    return days.groupBy(*keys).agg(*out)
+
+
+def _totals_sql(source: str, keys: list[str], columns: list[str], scaled: dict[str, int] | None = None) -> str:
+    scaled = scaled or {}
+    out = [*keys, "count(*) AS n_days"]
+    for c in [*columns, *scaled]:
+        value = f"CAST(round({c} * {scaled[c]}) AS bigint)" if c in scaled else f"CAST({c} AS bigint)"
+        day = f"date_diff('day', DATE '{LO}', date)"
+        out += [f"count({c}) AS {c}_days", f"CAST(sum({value}) AS bigint) AS {c}_sum", f"CAST(sum({value} * {day}) AS bigint) AS {c}_by_day"]
+    return f"SELECT {', '.join(out)} FROM {source} GROUP BY {', '.join(keys)}"
 
 
 def _position(t: Tables) -> tuple[DataFrame, DataFrame]:
-    products = written(_products(t, True), "products")
-    return I.position(_inventory(t, True, products)), products
+    products = written(_products(t), "products")
+    return I.position(_inventory(t, products)), products
 
 
-@query("PIPE6 A13 J7 J8 X11 W2", f"WITH {inventory_sql(True)}, {POSITION} SELECT {_SPINE_COLUMNS} FROM spine")
+@query(
+    "PIPE6 A13 J7 J8 X11 W2",
+    f"WITH {INVENTORY}, {POSITION} {_totals_sql('spine', I.SERIES, [*_STOCK, *_FLAGS], {'reserve': 100})}",
+)
 def stock_outs_ahead(t: Tables) -> DataFrame:
     stock = I.stock_outs(*_position(t), LO, HI)
-    return stock.select(*_SPINE_NAMES).withColumn("reserve", F.round("reserve", 2))
+    return _totals(stock, I.SERIES, [*_STOCK, *_FLAGS], {"reserve": 100})
 
 
 @query(
     "PIPE7 J10 W3 P4",
-    f"""WITH {inventory_sql(True)}, {POSITION}, {FORECAST}
-    SELECT product_id, ordering_region, {on('date')} AS date, out_of_stock, forecast FROM filled""",
+    f"WITH {INVENTORY}, {POSITION}, {FORECAST} {_totals_sql('filled', I.SERIES, ['out_of_stock', 'forecast'])}",
 )
 def forecast_carried_forward(t: Tables) -> DataFrame:
     position, products = _position(t)
     stock = I.forecast_stock(position, S.demand_forecast(t), products, LO, HI)
-    return stock.select(*I.SERIES, "date", "out_of_stock", "forecast")
+    return _totals(stock, I.SERIES, ["out_of_stock", "forecast"])
 
 
 # Purchase orders
@@ -306,13 +312,13 @@ po AS (SELECT 'PO-' || o_orderkey AS po_number, product_id, ordering_region, p_p
   WHERE (product_id, ordering_region) IN (SELECT (product_id, ordering_region) FROM sold))"""
 
 
-def _lines(t: Tables, by_name: bool) -> DataFrame:
-    sold = I.sold_products(S.daily_sales(t, by_name), LO)
-    return P.po_lines(**S.po_inputs(t, by_name), sold=sold)
+def _lines(t: Tables) -> DataFrame:
+    sold = I.sold_products(S.daily_sales(t), LO)
+    return P.po_lines(**S.po_inputs(t), sold=sold)
 
 
 def _line_table(t: Tables) -> DataFrame:
-    return written(_lines(t, True), "purchase-order-lines")
+    return written(_lines(t), "purchase-order-lines")
 
 
 _DATES = ["date_placed", "date_shipped_from_vendor", "first_rec_date", "last_rec_date"]
@@ -320,11 +326,11 @@ _DATES = ["date_placed", "date_shipped_from_vendor", "first_rec_date", "last_rec
 
 @query(
     "PIPE8 J11 A14 A15 X9 X10",
-    f"""WITH {products_sql(False)}, {po_lines_sql()}
+    f"""WITH {PRODUCTS}, {po_lines_sql()}
     SELECT * REPLACE ({', '.join(f'{on(c)} AS {c}' for c in _DATES)}) FROM po""",
 )
 def purchase_order_lines(t: Tables) -> DataFrame:
-    return _lines(t, False)
+    return _lines(t)
 
 
 _BACK = LO - dt.timedelta(days=P.LOOK_BACK)
@@ -356,57 +362,50 @@ oldest AS (SELECT product_id, ordering_region, date, CAST(date_diff('day', min(d
   FROM day JOIN po ON date_placed <= date AND (last_rec_date > date OR last_rec_date IS NULL) GROUP BY 1, 2, 3)"""
 
 
+_MEANS = {"avg_partial_fill_rate_90": 1_000_000, "rolling_avg_lead_time_90": 1_000_000}
+_ROLLED = f"""period AS (SELECT *, rate AS avg_partial_fill_rate_90, lead AS rolling_avg_lead_time_90,
+  failed_90 AS number_failed_fills_90 FROM rolled WHERE date >= DATE '{LO}')"""
+
+
 @query(
     "PIPE8 W4 W5 J7 J8",
-    f"""WITH {products_sql(True)}, {po_lines_sql()}, {PO_FEATURES}
-    SELECT product_id, ordering_region, brand, {on('date')} AS date, round(rate, 9) AS avg_partial_fill_rate_90,
-      round(lead, 9) AS rolling_avg_lead_time_90 FROM rolled WHERE date >= DATE '{LO}'""",
+    f"WITH {PRODUCTS}, {po_lines_sql()}, {PO_FEATURES}, {_ROLLED} {_totals_sql('period', P.BRANDED, [], _MEANS)}",
 )
 def supplier_fill_history(t: Tables) -> DataFrame:
-    history = P.fill_history(_line_table(t), LO, HI)
-    return history.withColumns({c: F.round(c, 9) for c in history.columns[-2:]})
+    return _totals(P.fill_history(_line_table(t), LO, HI), P.BRANDED, [], _MEANS)
 
 
 @query(
     "PIPE8 W6 J7 J8",
-    f"""WITH {products_sql(True)}, {po_lines_sql()}, {PO_FEATURES}
-    SELECT product_id, ordering_region, brand, {on('date')} AS date, failed_90 AS number_failed_fills_90
-    FROM rolled WHERE date >= DATE '{LO}'""",
+    f"WITH {PRODUCTS}, {po_lines_sql()}, {PO_FEATURES}, {_ROLLED} {_totals_sql('period', P.BRANDED, ['number_failed_fills_90'])}",
 )
 def failed_fills_of_orders_placed(t: Tables) -> DataFrame:
-    return P.placed_history(_line_table(t), LO, HI)
+    return _totals(P.placed_history(_line_table(t), LO, HI), P.BRANDED, ["number_failed_fills_90"])
 
 
 @query(
     "PIPE8 J9",
-    f"""WITH {products_sql(True)}, {po_lines_sql()}, {PO_FEATURES}
-    SELECT product_id, ordering_region, {on('date')} AS date, age AS oldest_order_not_received FROM oldest""",
+    f"WITH {PRODUCTS}, {po_lines_sql()}, {PO_FEATURES} {_totals_sql('(SELECT *, age AS oldest_order_not_received FROM oldest)', I.SERIES, ['oldest_order_not_received'])}",
 )
 def age_of_oldest_open_order(t: Tables) -> DataFrame:
-    return P.oldest_order_age(_line_table(t), LO, HI, "oldest_order_not_received")
+    days = P.oldest_order_age(_line_table(t), LO, HI, "oldest_order_not_received")
+    return _totals(days, I.SERIES, ["oldest_order_not_received"])
+
+
+_AGES = ["oldest_order_not_received", "oldest_order_not_received_but_shipped"]
+_TRAINING = [*_STOCK, *_FLAGS, "forecast", "number_failed_fills_90", *_AGES]
 
 
 @query(
     "PIPE9 J10",
-    f"""WITH {inventory_sql(True)}, {POSITION}, {FORECAST}, {po_lines_sql()}, {PO_FEATURES}
-    SELECT {_SPINE_COLUMNS.replace('brand,', 'f.brand,').replace('product_id, ordering_region', 'f.product_id, f.ordering_region').replace("strftime(date", "strftime(f.date")},
-      forecast, round(rate, 9) AS avg_partial_fill_rate_90, round(lead, 9) AS rolling_avg_lead_time_90,
-      failed_90 AS number_failed_fills_90, age AS oldest_order_not_received,
-      shipped_age AS oldest_order_not_received_but_shipped
-    FROM filled f LEFT JOIN rolled r ON r.product_id = f.product_id AND r.ordering_region = f.ordering_region AND r.date = f.date
-      LEFT JOIN oldest o ON o.product_id = f.product_id AND o.ordering_region = f.ordering_region AND o.date = f.date""",
+    f"""WITH {INVENTORY}, {POSITION}, {FORECAST}, {po_lines_sql()}, {PO_FEATURES}, {_ROLLED},
+    whole AS (SELECT f.*, avg_partial_fill_rate_90, rolling_avg_lead_time_90, number_failed_fills_90,
+        age AS oldest_order_not_received, shipped_age AS oldest_order_not_received_but_shipped
+      FROM filled f LEFT JOIN period r ON r.product_id = f.product_id AND r.ordering_region = f.ordering_region AND r.date = f.date
+        LEFT JOIN oldest o ON o.product_id = f.product_id AND o.ordering_region = f.ordering_region AND o.date = f.date)
+    {_totals_sql('whole', I.SERIES, _TRAINING, {'reserve': 100} | _MEANS)}""",
 )
 def training_set(t: Tables) -> DataFrame:
     position, products = _position(t)
-    full = assemble_training_set(
-        position, S.demand_forecast(t), products, _line_table(t), LO, HI
-    )
-    rounded = ["avg_partial_fill_rate_90", "rolling_avg_lead_time_90"]
-    return full.withColumn("reserve", F.round("reserve", 2)).select(
-        *_SPINE_NAMES,
-        "forecast",
-        *[F.round(c, 9).alias(c) for c in rounded],
-        "number_failed_fills_90",
-        "oldest_order_not_received",
-        "oldest_order_not_received_but_shipped",
-    )
+    full = assemble_training_set(position, S.demand_forecast(t), products, _line_table(t), LO, HI)
+    return _totals(full, I.SERIES, _TRAINING, {"reserve": 100} | _MEANS)

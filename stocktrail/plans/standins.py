@@ -66,11 +66,11 @@ def user_history(t: Tables) -> DataFrame:
     )
 
 
-# Products: one per part, or one per part name where a plan makes a row for every day.
+# Products: one per part.
 
 
-def product_code(by_name: bool) -> Column:
-    return F.concat(F.lit("B0"), F.col("p_name") if by_name else F.col("p_partkey").cast("string"))
+def product_code() -> Column:
+    return F.concat(F.lit("B0"), F.col("p_partkey").cast("string"))
 
 
 def vendor_name() -> Column:
@@ -81,10 +81,10 @@ def _vendor_id() -> Column:
     return F.length(vendor_name()).cast("bigint")
 
 
-def parts(t: Tables, by_name: bool) -> DataFrame:
+def parts(t: Tables) -> DataFrame:
     return t.part.withColumns(
         {
-            "product_id": product_code(by_name),
+            "product_id": product_code(),
             "vendor_name": vendor_name(),
             "vendor_id": _vendor_id(),
         }
@@ -103,11 +103,11 @@ def _countries_of_suppliers(t: Tables) -> DataFrame:
     )
 
 
-def daily_sales(t: Tables, by_name: bool = False) -> DataFrame:
+def daily_sales(t: Tables) -> DataFrame:
     lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     shop = F.when(F.col("o_orderstatus") == "P", "Walmart").otherwise("Amazon")
     return (
-        lines.join(parts(t, by_name), F.col("l_partkey") == F.col("p_partkey"))
+        lines.join(parts(t), F.col("l_partkey") == F.col("p_partkey"))
         .join(_countries_of_suppliers(t), "l_suppkey")
         .join(ordering_regions(t), "country_code")
         .select(
@@ -122,16 +122,11 @@ def daily_sales(t: Tables, by_name: bool = False) -> DataFrame:
     )
 
 
-def product_parent_map(t: Tables, by_name: bool = False) -> DataFrame:
+def product_parent_map(t: Tables) -> DataFrame:
     """A parent for the parts above size 20, each in one country."""
-    rows = parts(t, by_name).where(F.col("p_size") > 20)
-    number = F.length("p_name") if by_name else F.col("p_partkey")
-    country = F.concat(F.lit("NATION_"), (number % 25).cast("string"))
-    parent = (
-        F.concat(F.lit("B0 "), F.col("vendor_name"))
-        if by_name
-        else F.concat(F.lit("B0"), (F.col("p_partkey") - F.col("p_partkey") % 10).cast("string"))
-    )
+    rows = parts(t).where(F.col("p_size") > 20)
+    country = F.concat(F.lit("NATION_"), (F.col("p_partkey") % 25).cast("string"))
+    parent = F.concat(F.lit("B0"), (F.col("p_partkey") - F.col("p_partkey") % 10).cast("string"))
     return rows.select(
         country.alias("country_code"), parent.alias("parent_id"), "product_id"
     ).distinct()
@@ -179,11 +174,11 @@ def ordering_files(t: Tables) -> DataFrame:
     )
 
 
-def inventory_daily(t: Tables, by_name: bool = False) -> DataFrame:
+def inventory_daily(t: Tables) -> DataFrame:
     """A line is what was in stock of its part on its ship date."""
-    lines = t.lineitem.join(
-        parts(t, by_name), F.col("l_partkey") == F.col("p_partkey")
-    ).join(_countries_of_suppliers(t), "l_suppkey")
+    lines = t.lineitem.join(parts(t), F.col("l_partkey") == F.col("p_partkey")).join(
+        _countries_of_suppliers(t), "l_suppkey"
+    )
     quantity = F.col("l_quantity").cast("bigint")
     discount, tax = F.round(F.col("l_discount") * 100), F.round(F.col("l_tax") * 100)
     program = (
@@ -218,7 +213,7 @@ def inventory_daily(t: Tables, by_name: bool = False) -> DataFrame:
     )
 
 
-def listings(t: Tables, by_name: bool = False) -> DataFrame:
+def listings(t: Tables) -> DataFrame:
     """Large parts are listed with both kinds of fulfilment."""
     kinds = (
         F.when(F.col("p_size") > 40, F.array(F.lit("FBM"), F.lit("FBA")))
@@ -226,17 +221,17 @@ def listings(t: Tables, by_name: bool = False) -> DataFrame:
         .otherwise(F.array(F.lit("FBA")))
     )
     return (
-        parts(t, by_name)
+        parts(t)
         .select(F.col("product_id").alias("listing_page_id"), F.explode(kinds).alias("fulfillment_type"))
         .distinct()
     )
 
 
-def demand_forecast(t: Tables, by_name: bool = True) -> DataFrame:
+def demand_forecast(t: Tables) -> DataFrame:
     """Ordered quantity per product, region and order date."""
     lines = t.lineitem.join(t.orders, F.col("l_orderkey") == F.col("o_orderkey"))
     return (
-        lines.join(parts(t, by_name), F.col("l_partkey") == F.col("p_partkey"))
+        lines.join(parts(t), F.col("l_partkey") == F.col("p_partkey"))
         .join(_countries_of_suppliers(t), "l_suppkey")
         .join(ordering_regions(t), "country_code")
         .groupBy("product_id", "ordering_region", F.to_date("o_orderdate").alias("start_forecast_dt"))
@@ -298,9 +293,9 @@ def shipments(t: Tables) -> DataFrame:
     )
 
 
-def po_inputs(t: Tables, by_name: bool = False) -> dict[str, DataFrame]:
+def po_inputs(t: Tables) -> dict[str, DataFrame]:
     """All inputs of the purchase-order plan but the sold products."""
-    catalogue = parts(t, by_name)
+    catalogue = parts(t)
     return {
         "purchases": purchases(t),
         "items": purchase_items(t),
