@@ -19,8 +19,15 @@ def _stream(t: Tables, name: str) -> DataFrame:
     return t.spark.readStream.schema(getattr(t, name).schema).parquet(f"{t.folder}/{name}.parquet*")
 
 
-def _drain(t: Tables, df: DataFrame, name: str) -> DataFrame:
-    return J.drain(df, scratch_path(t.spark, name), scratch_path(t.spark, f"{name}-checkpoint"))
+def _drain(t: Tables, df: DataFrame, name: str, end=None) -> DataFrame:
+    return J.drain(df, scratch_path(t.spark, name), scratch_path(t.spark, f"{name}-checkpoint"), end=end)
+
+
+def _ending_events(t: Tables, *types: str):
+    """The events as a stream that can be ended, by an event of each of the types."""
+    marks = [{"event_type": kind, "ts": J.END, "user_id": -1 - i} for i, kind in enumerate(types)]
+    stream, end = J.with_end(_stream(t, "events"), scratch_path(t.spark, "end"), marks)
+    return stream.withColumn("at", F.col("ts").cast("timestamp")), end
 
 
 def _event_stream(t: Tables) -> DataFrame:
@@ -53,19 +60,18 @@ def stream_without_copies(t: Tables) -> DataFrame:
 
 _PAIRS = """
 WITH s AS (SELECT user_id, event_id, ts FROM events WHERE event_type = 'signup'),
-p AS (SELECT user_id, event_id, ts FROM events WHERE event_type = 'purchase'),
-closed AS (SELECT least((SELECT max(ts) FROM s), (SELECT max(ts) FROM p)) - INTERVAL 10 MINUTE AS w)"""
+p AS (SELECT user_id, event_id, ts FROM events WHERE event_type = 'purchase')"""
 
 
 def _pairs(t: Tables) -> DataFrame:
-    stream = _stream(t, "events").withColumn("at", F.col("ts").cast("timestamp"))
+    stream, end = _ending_events(t, "signup", "purchase")
     starts = stream.where(F.col("event_type") == "signup").select(
         "user_id", F.col("event_id").alias("start_id"), F.col("at").alias("start_time")
     )
     ends = stream.where(F.col("event_type") == "purchase").select(
         "user_id", F.col("event_id").alias("end_id"), F.col("at").alias("end_time")
     )
-    return _drain(t, J.pair_stream(starts, ends, "user_id", "1 HOUR"), "pairs")
+    return _drain(t, J.pair_stream(starts, ends, "user_id", "1 HOUR"), "pairs", end)
 
 
 @query(
@@ -80,23 +86,21 @@ def starts_paired_with_ends(t: Tables) -> DataFrame:
 
 @query(
     "ST3",
-    f"""{_PAIRS} SELECT s.user_id, s.event_id AS start_id, {at('s.ts')} AS start_time FROM s, closed
-    WHERE s.ts + INTERVAL 1 HOUR < w AND NOT EXISTS
-      (SELECT 1 FROM p WHERE p.user_id = s.user_id AND p.ts BETWEEN s.ts AND s.ts + INTERVAL 1 HOUR)""",
+    f"""{_PAIRS} SELECT s.user_id, s.event_id AS start_id, {at('s.ts')} AS start_time FROM s
+    WHERE NOT EXISTS (SELECT 1 FROM p WHERE p.user_id = s.user_id AND p.ts BETWEEN s.ts AND s.ts + INTERVAL 1 HOUR)""",
 )
 def starts_known_to_be_late(t: Tables) -> DataFrame:
-    """Starts nothing followed, as far as the final watermark has got."""
+    """Starts that no end followed in time."""
     return _pairs(t).where(F.col("end_id").isNull()).select("user_id", "start_id", "start_time")
 
 
 @query(
     "ST4",
-    f"""SELECT {at("date_trunc('day', ts)")} AS window_start, event_type, count(*) AS n_events FROM events
-    WHERE date_trunc('day', ts) + INTERVAL 1 DAY <= (SELECT max(ts) - INTERVAL 1 HOUR FROM events) GROUP BY 1, 2""",
+    f"""SELECT {at("date_trunc('day', ts)")} AS window_start, event_type, count(*) AS n_events FROM events GROUP BY 1, 2""",
 )
 def events_per_closed_day(t: Tables) -> DataFrame:
-    stream = _stream(t, "events").withColumn("at", F.col("ts").cast("timestamp"))
-    return _drain(t, J.windowed_counts(stream, "at", ["event_type"]), "windows")
+    stream, end = _ending_events(t, "end")
+    return _drain(t, J.windowed_counts(stream, "at", ["event_type"]), "windows", end)
 
 
 _PATTERN = {"event_type": ["signup", "purchase"], "detail": {"k": ["7", "11", "42"]}}

@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import datetime as dt
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stocktrail.lineage.upkeep import by_date
+from stocktrail.streaming.versions import Versions
 
 # Values of the approval rule, fixed by the service that sends the events.
 APPROVAL_SOURCE = "aws.sagemaker"
@@ -13,11 +17,44 @@ APPROVAL_DETAIL_TYPE = "SageMaker Model Package State Change"
 APPROVED = "Approved"
 
 
-def drain(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> DataFrame:
+#: Later than any event.
+END = dt.datetime(9999, 12, 1)
+
+
+def with_end(stream: DataFrame, path: str, marks: list[dict]) -> tuple[DataFrame, Callable[[], None]]:
+    """A stream of finite input that can be told that it is over, and what tells it.
+
+    Watermarks follow the events, so what the last events keep open never closes by itself. The
+    stream returned also watches the folder ``path``, empty until the function is called, which
+    puts ``marks`` there: rows (by column; the others NULL) dated ``END``, in a batch after all
+    that was read before. The watermark then passes every other event. Each input
+    with a watermark of its own needs a mark that reaches it, with values in all that is filtered
+    or joined on, and none that match. Marks stay open themselves and so come out of no join or
+    window. A stream that has been ended can not be gone on with.
+    """
+    spark = stream.sparkSession
+    spark.createDataFrame([], stream.schema).write.parquet(path)
+    watched = spark.readStream.schema(stream.schema).parquet(path)
+
+    def end() -> None:
+        rows = [tuple(mark.get(c) for c in stream.columns) for mark in marks]
+        spark.createDataFrame(rows, stream.schema).coalesce(1).write.mode("append").parquet(path)
+
+    return stream.unionByName(watched), end
+
+
+def drain(
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    mode: str = "append",
+    end: Callable[[], None] | None = None,
+) -> DataFrame:
     """Run a stream over all there is to read, and return what it wrote.
 
     The default trigger is used because it goes on, after the last rows, to a batch without rows;
-    only that batch lets out what the final watermark has closed.
+    only that batch lets out what the final watermark has closed. With ``end`` (of ``with_end``)
+    all is closed.
     """
     query = (
         df.writeStream.format("parquet")
@@ -28,6 +65,9 @@ def drain(df: DataFrame, path: str, checkpoint: str, mode: str = "append") -> Da
     )
     try:
         query.processAllAvailable()
+        if end is not None:
+            end()
+            query.processAllAvailable()
     finally:
         query.stop()
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -131,16 +171,28 @@ def run_state_partials(events: DataFrame) -> DataFrame:
     )
 
 
-def run_state_stream(events: DataFrame, path: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Keep the state of all runs as a table of parts, one folder per batch.
+def _merged(parts: DataFrame) -> DataFrame:
+    return parts.groupBy("run_id").agg(
+        F.max("job").alias("job"),
+        F.min("started_at").alias("started_at"),
+        F.max("ended_at").alias("ended_at"),
+    )
+
 
-    A batch only writes its own folder, so its cost is that of the batch and not of all runs ever
-    seen, nothing being read is replaced, and a batch that is run again writes the same rows to
-    the same place.
+def run_state_stream(
+    events: DataFrame, path: str, checkpoint: str, merge_every: int = 10, **trigger
+) -> StreamingQuery:
+    """Keep the state of all runs as a versioned table.
+
+    A batch writes its own part, so its cost is that of the batch and not of all runs ever seen;
+    each ``merge_every``-th also merges the parts since the last merge into a new base. A version is
+    published once all it consists of is written, and what no version needs any more is removed. A
+    batch that is run again is not written twice.
     """
+    store = Versions(events.sparkSession, path)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        run_state_partials(batch).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        store.add(batch_id, run_state_partials(batch), _merged, merge_every)
 
     return (
         events.writeStream.foreachBatch(write)
@@ -151,16 +203,8 @@ def run_state_stream(events: DataFrame, path: str, checkpoint: str, **trigger) -
 
 
 def run_state(spark: SparkSession, path: str) -> DataFrame:
-    """The current state of each run, from the parts written so far."""
-    merged = (
-        spark.read.parquet(path)
-        .groupBy("run_id")
-        .agg(
-            F.max("job").alias("job"),
-            F.min("started_at").alias("started_at"),
-            F.max("ended_at").alias("ended_at"),
-        )
-    )
+    """The state of each run as of the version published last."""
+    merged = _merged(Versions(spark, path).read())
     return merged.withColumn(
         "state", F.when(F.col("ended_at").isNotNull(), "COMPLETE").otherwise("START")
     )

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stocktrail.session import scratch_path
 from stocktrail.sources import eventlog
 from stocktrail.streaming import jobs as J
+from stocktrail.streaming.versions import Versions
 from tests.conftest import rows
 from tests.test_lineage import _events, at
 
@@ -105,6 +106,50 @@ def test_run_state_over_batches_and_a_second_start(spark, tmp_path):
     ]
 
 
+def test_the_end_closes_all_windows_and_starts(spark, tmp_path):
+    stream = _folder(
+        spark,
+        tmp_path,
+        [[("a", "START", at(0)), ("b", "START", at(60))], [("a", "END", at(600))], [("c", "START", at(90_000))]],
+    )
+    ended, end = J.with_end(stream, scratch_path(spark, "end"), [{"id": k, "kind": k, "at": J.END} for k in ("START", "END")])
+    pairs = J.drain(_pairs(spark, ended), scratch_path(spark, "out"), scratch_path(spark, "checkpoint"), end=end)
+    assert rows(pairs, "id", F.col("end_time").isNull().alias("late")) == [("a", False), ("b", True), ("c", True)]
+    ended, end = J.with_end(stream, scratch_path(spark, "end"), [{"kind": "", "at": J.END}])
+    days = J.drain(J.windowed_counts(ended, "at", ["kind"]), scratch_path(spark, "out"), scratch_path(spark, "checkpoint"), end=end)
+    assert rows(days, F.to_date("window_start").alias("d"), "kind", "n_events") == [
+        (dt.date(2024, 1, 1), "END", 1), (dt.date(2024, 1, 1), "START", 2), (dt.date(2024, 1, 2), "START", 1)
+    ]
+
+
+def test_many_batches_leave_few_folders_and_one_version_to_each_reader(spark, tmp_path):
+    state = str(tmp_path / "state")
+    store = Versions(spark, state)
+    merge = lambda parts: parts.groupBy("k").agg(F.sum("n").alias("n"))
+    reader = None
+    for number in range(20):
+        store.add(number, spark.createDataFrame([(number % 3, 1), (7, 1)], "k int, n long"), merge, 6)
+        store.add(number, spark.createDataFrame([(99, 1)], "k int, n long"), merge, 6)  # run again
+        if reader is not None:  # opened a version ago, read only now
+            assert reader[0].agg(F.sum("n")).first()[0] == 2 * reader[1]
+        reader = store.read(), number + 1
+    assert store.marks()[-1] == (19, 17)
+    assert len([p for p in (tmp_path / "state").iterdir() if p.is_dir()]) <= 1 + 2 + 2 * 6
+    assert rows(merge(store.read()), "k", "n") == [(0, 7), (1, 7), (2, 6), (7, 20)]
+
+
+def test_a_version_without_its_mark_is_not_read(spark, tmp_path):
+    store = Versions(spark, str(tmp_path / "state"))
+    with pytest.raises(FileNotFoundError):
+        store.read()
+    row = spark.createDataFrame([(1, 1)], "k int, n long")
+    store.add(0, row, lambda p: p, 10)
+    row.write.parquet(str(tmp_path / "state" / "part=1"))  # a batch that was lost before it published
+    assert store.read().count() == 1
+    store.add(1, row, lambda p: p, 10)
+    assert store.read().count() == 2
+
+
 def test_ingest_by_day(spark, tmp_path):
     log = str(tmp_path / "log")
     eventlog.write_events(_events(spark, [("a", "ns", "j", at(0), at(90_000), *(None,) * 5)]), log)
