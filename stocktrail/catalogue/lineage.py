@@ -13,7 +13,9 @@ from stocktrail.lineage import events as E, graph as G, runs as R, statements as
 from stocktrail.plans import standins as S
 from stocktrail.plans.lineage_report import lineage_report
 from stocktrail.plans.standins import Tables
-from stocktrail.session import cut
+from stocktrail.session import cut, scratch_path
+from stocktrail.sources import eventlog
+from stocktrail.streaming import jobs as J
 
 
 def _steps(t: Tables) -> DataFrame:
@@ -276,6 +278,20 @@ def events_of_the_last_week(t: Tables) -> DataFrame:
     return U.retain(t.events, F.lit(now).cast("timestamp_ntz"), 7, "ts").select("event_id", "ts")
 
 
+@query(
+    "L23",
+    f"""SELECT event_id, {at('ts')} AS ts FROM events
+    WHERE ts >= (SELECT max(ts) FROM events) - INTERVAL 7 DAY - INTERVAL 5 HOUR""",
+)
+def stored_events_after_a_purge(t: Tables) -> DataFrame:
+    """The log is stored by date, what is older than a week and five hours goes, the rest is read."""
+    log = scratch_path(t.spark, "stored-log")
+    U.write_by_date(t.events.withColumn("run", F.struct(F.col("user_id").alias("runId"))), log, "ts")
+    last = t.events.agg(F.max("ts")).first()[0]
+    U.purge(t.spark, log, last - dt.timedelta(hours=5), 7, "ts")
+    return t.spark.read.parquet(log).select("event_id", "ts")
+
+
 @query(
     "L24",
     """SELECT p_partkey, p_name, CAST(list_contains(string_split(lower(p_name), ' '), 'red') AS int)
@@ -369,6 +385,36 @@ def column_edges(t: Tables) -> DataFrame:
     return G.column_edges(S.column_records(t))
 
 
+def _lineage_log(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "lineage-log")
+    eventlog.write_events(E.to_events(S.lineage_runs(t)), path)
+    return eventlog.read_events(t.spark, path)
+
+
+@query(
+    "L15 IO8",
+    f"WITH {_COLUMN_EDGES} SELECT DISTINCT out_table, 'rate' AS out_column, in_table, 'rate' AS in_column FROM e",
+)
+def column_edges_of_a_log(t: Tables) -> DataFrame:
+    """From the column lineage that the events of a log report."""
+    return G.column_edges(G.column_records(_lineage_log(t)))
+
+
+@query("IO8 ST1", "SELECT 'made-' || p_partkey AS run_id, CAST(p_size AS int) AS size FROM part")
+def facet_nobody_declared(t: Tables) -> DataFrame:
+    """A facet of no known schema, after it was written, read, taken in by a stream to a Parquet
+    log, and written and read once more."""
+    first, log, last = (scratch_path(t.spark, name) for name in ("events", "ingested", "events"))
+    eventlog.write_events(E.to_events(S.lineage_runs(t)), first)
+    stream = eventlog.read_events(t.spark, first, streaming=True)
+    J.ingest(stream, log, scratch_path(t.spark, "checkpoint"), period="month").awaitTermination()
+    eventlog.write_events(t.spark.read.parquet(log).drop("event_date"), last)
+    told = F.get_json_object(F.col("run.facets.other")["partSize"], "$.sizes[0].size")
+    return eventlog.read_events(t.spark, last).select(
+        F.col("run.runId").alias("run_id"), told.cast("int").alias("size")
+    )
+
+
 @query(
     "L16",
     f"""WITH RECURSIVE {_COLUMN_EDGES}, reach AS (

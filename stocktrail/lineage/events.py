@@ -24,17 +24,30 @@ _OPTIONAL = {
     "source_url": "string",
     "source_branch": "string",
     "source_version": "string",
+    "run_facets": "map<string,string>",
 }
 
 
 def dataset(
-    namespace, name, fields: Column | None = None, told: dict[str, Column] | None = None
+    namespace,
+    name,
+    fields: Column | None = None,
+    told: dict[str, Column] | None = None,
+    made_of: Column | None = None,
 ) -> Column:
     """An input or output of a run; ``fields`` is its schema, an array of name/type/description.
 
-    ``told`` are structs said of it in this run, kept as JSON under their names.
+    ``told`` are structs said of it in this run, kept as JSON under their names. ``made_of``: by
+    column of an output, an array of namespace/name/field of the columns it is made from.
     """
-    schema = F.lit(None) if fields is None else F.struct(F.struct(fields.alias("fields")).alias("s"))
+    schema = F.lit(None)
+    if fields is not None or made_of is not None:
+        lineage = None if made_of is None else F.transform_values(made_of, lambda _, of: F.struct(of))
+        schema = F.struct(
+            F.lit(None) if fields is None else F.struct(fields),
+            F.lit(None) if lineage is None else F.struct(lineage),
+            F.lit(None),
+        )
     entries = [c for key, value in (told or {}).items() for c in (F.lit(key), F.to_json(value))]
     return F.struct(
         _column(namespace).alias("namespace"),
@@ -108,9 +121,9 @@ def to_events(runs: DataFrame, producer: str = PRODUCER) -> DataFrame:
         "eventType": F.col("_m.t"),
         "eventTime": F.col("_m.at"),
         "producer": F.lit(producer),
-        "run": F.struct(F.col("run_id").cast("string"), F.struct(nominal, parent)),
+        "run": F.struct(F.col("run_id").cast("string"), F.struct(nominal, parent, "run_facets")),
         "job": F.struct(
-            "namespace", "job", F.struct(_when_set("sql", F.struct("sql")), source)
+            "namespace", "job", F.struct(_when_set("sql", F.struct("sql")), source, F.lit(None))
         ),
         "inputs": _or_none("inputs"),
         "outputs": _or_none("outputs"),

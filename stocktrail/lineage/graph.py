@@ -78,6 +78,18 @@ def column_edges(records: DataFrame) -> DataFrame:
     )
 
 
+def column_records(events: DataFrame) -> DataFrame:
+    """(out_table, out_column, lineage) as the events' outputs report them; see ``column_edges``."""
+    reported = events.select(F.explode("outputs").alias("d")).select(
+        F.col("d.name").alias("out_table"),
+        F.explode("d.facets.columnLineage.fields").alias("out_column", "of"),
+    )
+    origin = F.transform(
+        "of.inputFields", lambda x: F.struct(x["name"].alias("table"), x["field"].alias("column"))
+    )
+    return reported.select("out_table", "out_column", origin.alias("lineage"))
+
+
 def column_graph(edges: DataFrame) -> DataFrame:
     """Column lineage as a graph over ``table.column`` nodes."""
     return edges.select(

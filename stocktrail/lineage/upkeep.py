@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+import datetime as dt
+import re
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def retain(
@@ -44,6 +47,49 @@ def write_by_date(
     )
 
 
+def purge(
+    spark: SparkSession, path: str, now: dt.datetime, days: int = 7, time: str = "eventTime"
+) -> None:
+    """Remove from a log stored by day (``write_by_date``) what is older than ``days`` days.
+
+    Expired days are dropped as folders, unread. Only the day in which the limit falls is read and
+    written anew, beside the log, and then takes its place: who reads that day meanwhile reads again.
+    """
+    since = now - dt.timedelta(days=days)
+    where = spark._jvm.org.apache.hadoop.fs.Path
+    files = where(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    for folder in files.listStatus(where(path)):
+        found = re.fullmatch(r"event_date=(\d{4}-\d\d-\d\d)", folder.getPath().getName())
+        if found and dt.date.fromisoformat(found[1]) < since.date():
+            files.delete(folder.getPath(), True)
+    _finish_purge(files, where, path)
+    boundary = f"{path}/event_date={since.date()}"
+    if not files.exists(where(boundary)):
+        return
+    day = spark.read.parquet(boundary)
+    kept = day.where(F.col(time) >= F.lit(since).cast(day.schema[time].dataType))
+    if kept.isEmpty():
+        files.delete(where(boundary), True)
+        return
+    fresh = f"{path}/_purged-{since.date()}"
+    kept.write.mode("overwrite").parquet(fresh)
+    files.delete(where(boundary), True)
+    _finish_purge(files, where, path)
+
+
+def _finish_purge(files, where, path: str) -> None:
+    """Put a day that is written anew in its place, also one that a purge was stopped over; one that
+    was not written whole goes."""
+    for folder in files.listStatus(where(path)):
+        found = re.fullmatch(r"_purged-(.*)", folder.getPath().getName())
+        if found:
+            place = where(f"{path}/event_date={found[1]}")
+            if files.exists(where(folder.getPath(), "_SUCCESS")) and not files.exists(place):
+                files.rename(folder.getPath(), place)
+            else:
+                files.delete(folder.getPath(), True)
+
+
 def search(df: DataFrame, name: str, text: str) -> DataFrame:
     """Rows whose name holds some word of ``text``, most words first, then by name."""
     words = sorted({w for w in text.lower().split() if w})

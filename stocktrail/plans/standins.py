@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from stocktrail.functions.scalars import cents, dotted, shift
-from stocktrail.lineage.events import input_dataset, output_dataset, step_events, to_events
+from stocktrail.lineage.events import dataset, input_dataset, output_dataset, step_events, to_events
 from stocktrail.sources.tables import load, window_bounds
 
 AS_OF = dt.date(2001, 8, 1)
@@ -497,3 +497,28 @@ def column_records(t: Tables) -> DataFrame:
         F.lit("rate").alias("out_column"),
         F.array(origin(part_node(F.floor(key / 2))), origin(brand)).alias("lineage"),
     )
+
+
+def lineage_runs(t: Tables) -> DataFrame:
+    """A run per part that writes its table and tells where its columns are from; the part's size
+    is a facet of the run that no schema knows."""
+    records = column_records(t)
+    of = F.transform(
+        "lineage",
+        lambda o: F.struct(
+            F.lit(NAMESPACE).alias("namespace"), o["table"].alias("name"), o["column"].alias("field")
+        ),
+    )
+    output = dataset(F.lit(NAMESPACE), "out_table", made_of=F.create_map("out_column", of))
+    size = F.to_json(F.struct(F.array(F.struct(F.col("p_size").alias("size"))).alias("sizes")))
+    return (
+        records.join(t.part, part_node(F.col("p_partkey")) == F.col("out_table"))
+        .select(
+            F.concat(F.lit("made-"), F.col("p_partkey").cast("string")).alias("run_id"),
+            F.lit(NAMESPACE).alias("namespace"),
+            F.lit("make_part").alias("job"),
+            F.to_timestamp(F.lit("1995-01-01")).alias("started_at"),
+            F.array(output).alias("outputs"),
+            F.create_map(F.lit("partSize"), size).alias("run_facets"),
+        )
+    )

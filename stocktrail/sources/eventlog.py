@@ -1,4 +1,9 @@
-"""The run-event record, and logs of it as JSON lines or Parquet."""
+"""The run-event record, and logs of it as JSON lines or Parquet.
+
+Facets are open: anybody may add one to a run, a job or a dataset. Those declared here are columns;
+all others are kept beside them, under ``other``, as JSON texts by name, and go back to their place
+when the event is written as JSON.
+"""
 
 from __future__ import annotations
 
@@ -15,7 +20,13 @@ _DATASET = {
     "namespace": _TEXT,
     "name": _TEXT,
     "facets": _struct(
-        schema=_struct(fields=T.ArrayType(_struct(name=_TEXT, type=_TEXT, description=_TEXT)))
+        schema=_struct(fields=T.ArrayType(_struct(name=_TEXT, type=_TEXT, description=_TEXT))),
+        columnLineage=_struct(
+            fields=T.MapType(
+                _TEXT, _struct(inputFields=T.ArrayType(_struct(namespace=_TEXT, name=_TEXT, field=_TEXT)))
+            )
+        ),
+        other=_FACETS,
     ),
 }
 
@@ -28,6 +39,7 @@ EVENT_SCHEMA = _struct(
         facets=_struct(
             nominalTime=_struct(nominalStartTime=_TIME, nominalEndTime=_TIME),
             parent=_struct(run=_struct(runId=_TEXT), job=_struct(namespace=_TEXT, name=_TEXT)),
+            other=_FACETS,
         ),
     ),
     job=_struct(
@@ -36,6 +48,7 @@ EVENT_SCHEMA = _struct(
         facets=_struct(
             sql=_struct(query=_TEXT),
             sourceCodeLocation=_struct(type=_TEXT, url=_TEXT, branch=_TEXT, version=_TEXT),
+            other=_FACETS,
         ),
     ),
     inputs=T.ArrayType(_struct(**_DATASET, inputFacets=_FACETS)),
@@ -43,23 +56,81 @@ EVENT_SCHEMA = _struct(
 )
 
 
+def _as_read(kind: T.DataType) -> T.DataType:
+    """A type of the record as it is in JSON: facets are a map, whatever is among them."""
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_as_read(kind.elementType))
+    if isinstance(kind, T.StructType) and "other" not in kind.names:
+        return T.StructType([T.StructField(f.name, _as_read(f.dataType)) for f in kind.fields])
+    return _FACETS if isinstance(kind, T.StructType) else kind
+
+
+def _declared(facets: Column, kind: T.StructType) -> Column:
+    """Facets by name to the declared ones and the others."""
+    names = [n for n in kind.names if n != "other"]
+    rest = F.map_filter(facets, lambda name, _: ~name.isin(names))
+    typed = [F.from_json(facets[n], kind[n].dataType).alias(n) for n in names]
+    return F.when(
+        facets.isNotNull(), F.struct(*typed, F.when(F.size(rest) > 0, rest).alias("other"))
+    )
+
+
+def _by_name(facets: Column, kind: T.StructType) -> Column:
+    """The declared facets and the others to facets by name, as JSON values."""
+    names = [n for n in kind.names if n != "other"]
+    entries = [c for n in names for c in (F.lit(n), F.parse_json(F.to_json(facets[n])))]
+    told = F.map_filter(F.create_map(*entries), lambda _, value: value.isNotNull())
+    rest = F.transform_values(facets["other"], lambda _, text: F.parse_json(text))
+    return F.when(
+        facets.isNotNull(), F.when(facets["other"].isNull(), told).otherwise(F.map_concat(told, rest))
+    )
+
+
+def _with_facets(value: Column, kind: T.DataType, change) -> Column:
+    """``value`` with ``change`` made to the facets anywhere in it."""
+    if isinstance(kind, T.ArrayType):
+        return F.transform(value, lambda x: _with_facets(x, kind.elementType, change))
+    if not isinstance(kind, T.StructType):
+        return value
+    if "other" in kind.names:
+        return change(value, kind)
+    fields = [_with_facets(value[f.name], f.dataType, change).alias(f.name) for f in kind.fields]
+    return F.when(value.isNotNull(), F.struct(*fields))
+
+
+def parse_events(text: Column) -> list[Column]:
+    """The columns of an event from its JSON text; the schema is declared, so no pass is spent on
+    inferring it. What is no event gives NULLs."""
+    event = F.from_json(text, _as_read(EVENT_SCHEMA))
+    return [
+        _with_facets(event[f.name], f.dataType, _declared).cast(f.dataType).alias(f.name)
+        for f in EVENT_SCHEMA.fields
+    ]
+
+
 def read_events(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """A JSON-lines event log; the schema is declared, so no pass is spent on inferring it."""
-    reader = spark.readStream if streaming else spark.read
-    return reader.schema(EVENT_SCHEMA).json(path)
+    """A JSON-lines event log."""
+    lines = (spark.readStream if streaming else spark.read).text(path)
+    return lines.where(F.trim("value") != "").select(*parse_events(F.col("value")))
 
 
 def write_events(events: DataFrame, path: str, compression: str | None = None) -> None:
     """Append events to a JSON-lines log, gzipped on request."""
-    writer = events.write.mode("append")
+    writer = events.select(*_fields_by_name(events)).write.mode("append")
     if compression:
         writer = writer.option("compression", compression)
     writer.json(path)
 
 
+def _fields_by_name(events: DataFrame) -> list[Column]:
+    return [
+        _with_facets(events[f.name], f.dataType, _by_name).alias(f.name) for f in events.schema.fields
+    ]
+
+
 def event_json(events: DataFrame) -> Column:
-    """Each event as JSON text."""
-    return F.to_json(F.struct(*[events[c] for c in events.columns]))
+    """Each event as JSON text, all facets in their places."""
+    return F.to_json(F.struct(*_fields_by_name(events)))
 
 
 def qualify(name, default_namespace: str) -> Column:

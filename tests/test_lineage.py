@@ -165,6 +165,59 @@ def test_unknown_facets_are_ignored_on_reading(spark, tmp_path):
     assert tuple(event) == ("a", "2023-12-31 22")
 
 
+def test_unknown_facets_survive_reading_and_writing(spark, tmp_path):
+    import json
+
+    said = {
+        "eventType": "START", "eventTime": "2024-01-01T00:00:00.000Z",
+        "run": {"runId": "a", "facets": {"odd": {"x": [1, {"y": None}], "z": "\u00e9\"q"}, "nominalTime": {"nominalStartTime": "2024-01-01T00:00:00.000Z"}}},
+        "job": {"namespace": "n", "name": "j", "facets": {"sql": {"query": "select 1"}, "mine": {"deep": {"deeper": True}}}},
+        "inputs": [{"namespace": "n", "name": "i", "facets": {"schema": {"fields": [{"name": "c", "type": "INT"}]}, "new": {"v": 1.5}}}],
+        "outputs": [{"namespace": "n", "name": "o"}],
+    }
+    (tmp_path / "log.json").write_text(json.dumps(said) + "\n\nno event\n")
+    events = eventlog.read_events(spark, str(tmp_path / "log.json")).where("eventType is not null")
+    event = events.first()
+    assert event.run.facets.nominalTime.nominalStartTime and event.job.facets.sql.query == "select 1"
+    assert json.loads(event.run.facets.other["odd"]) == said["run"]["facets"]["odd"]
+    assert list(event.inputs[0].facets.other) == ["new"] and event.outputs[0].facets is None
+    eventlog.write_events(events, str(tmp_path / "again"))
+    text = [line for p in (tmp_path / "again").glob("*.json") for line in p.read_text().splitlines()]
+    assert [json.loads(line) for line in text] == [said]
+    assert eventlog.read_events(spark, str(tmp_path / "again")).first() == event
+
+
+def test_column_lineage_is_read_from_events(spark):
+    made_of = F.create_map(
+        F.lit("total"),
+        F.array(*[F.struct(F.lit("n").alias("namespace"), F.lit("t").alias("name"), F.lit(c).alias("field")) for c in "ab"]),
+    )
+    base = spark.createDataFrame([("r1", T0)], "run_id string, started_at timestamp").withColumns(
+        {"namespace": F.lit("n"), "job": F.lit("j"), "outputs": F.array(E.dataset("namespace", F.lit("o"), made_of=made_of))}
+    )
+    edges = G.column_edges(G.column_records(E.to_events(base).unionAll(E.to_events(base))))
+    assert rows(edges, "out_table", "out_column", "in_table", "in_column") == [("o", "total", "t", "a"), ("o", "total", "t", "b")]
+
+
+def test_purge_drops_days_and_rewrites_the_boundary_alone(spark, tmp_path):
+    day = lambda d, h: dt.datetime(2024, 1, d, h)
+    events = spark.createDataFrame(
+        [(f"r{d}{h}", day(d, h)) for d in (1, 2, 3, 4) for h in (1, 13)], "id string, at timestamp"
+    ).withColumn("run", F.struct(F.col("id").alias("runId")))
+    log = str(tmp_path / "log")
+    U.write_by_date(events, log, "at")
+    untouched = {p.name for d in (3, 4) for p in (tmp_path / "log" / f"event_date=2024-01-0{d}").glob("*.parquet")}
+    U.purge(spark, log, day(4, 12), 2, "at")
+    assert rows(spark.read.parquet(log), "id") == [("r213",), ("r31",), ("r313",), ("r41",), ("r413",)]
+    assert not (tmp_path / "log" / "event_date=2024-01-01").exists()
+    assert untouched == {p.name for d in (3, 4) for p in (tmp_path / "log" / f"event_date=2024-01-0{d}").glob("*.parquet")}
+    (tmp_path / "log" / "event_date=2024-01-02").rename(tmp_path / "log" / "_purged-2024-01-02")
+    U.purge(spark, log, day(4, 12), 2, "at")  # again, after a stop before the last step
+    assert spark.read.parquet(log).count() == 5
+    U.purge(spark, log, day(5, 14), 2, "at")  # nothing of the boundary's day is left
+    assert rows(spark.read.parquet(log), "id") == [("r41",), ("r413",)]
+
+
 def test_gzip_log_is_compressed(spark, tmp_path):
     eventlog.write_events(_flow(spark), str(tmp_path / "log"), compression="gzip")
     assert list((tmp_path / "log").glob("*.json.gz"))
