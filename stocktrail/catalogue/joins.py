@@ -147,8 +147,8 @@ def customers_with_mean_order(t: Tables) -> DataFrame:
 _GRID = """
 WITH daily AS (SELECT user_id, CAST(ts AS DATE) AS d, count(*) AS n,
     count(*) FILTER (event_type = 'error') AS errors FROM events GROUP BY 1, 2),
-grid AS (SELECT user_id, CAST(x AS DATE) AS d FROM (SELECT DISTINCT user_id FROM events)
-    CROSS JOIN generate_series(DATE '2024-01-01', DATE '2024-01-30', INTERVAL 1 DAY) g(x)),
+grid AS (SELECT user_id, CAST(x AS DATE) AS d FROM (SELECT DISTINCT user_id FROM events), (SELECT
+    unnest(generate_series(min(CAST(ts AS DATE)), max(CAST(ts AS DATE)), INTERVAL 1 DAY)) AS x FROM events)),
 dense AS (SELECT user_id, d, n, errors FROM grid LEFT JOIN daily USING (user_id, d))"""
 
 

@@ -21,14 +21,23 @@ def runs(events: DataFrame) -> DataFrame:
 
     The earliest START and the latest COMPLETE count. A COMPLETE without START is a finished run
     whose start is not known.
+
+    Over the log, texts are keys and only times are added up, which Spark hashes; with texts among
+    the results it would sort the log. What is left is a row or two per run.
     """
     started = F.min(F.when(F.col("eventType") == "START", F.col("eventTime")))
     ended = F.max(F.when(F.col("eventType") == "COMPLETE", F.col("eventTime")))
-    table = events.groupBy(F.col("run.runId").alias("run_id")).agg(
-        F.max(F.struct(F.col("job.namespace").alias("ns"), F.col("job.name").alias("n"))).alias("j"),
-        F.max("run.facets.parent.run.runId").alias("parent_run_id"),
-        started.alias("started_at"),
-        ended.alias("ended_at"),
+    said = events.groupBy(
+        F.col("run.runId").alias("run_id"),
+        F.col("job.namespace").alias("ns"),
+        F.col("job.name").alias("n"),
+        F.col("run.facets.parent.run.runId").alias("parent"),
+    ).agg(started.alias("started_at"), ended.alias("ended_at"))
+    table = said.groupBy("run_id").agg(
+        F.max(F.struct("ns", "n")).alias("j"),
+        F.max("parent").alias("parent_run_id"),
+        F.min("started_at").alias("started_at"),
+        F.max("ended_at").alias("ended_at"),
     )
     return table.select(
         "run_id",
@@ -184,11 +193,17 @@ def job_sources(events: DataFrame) -> DataFrame:
 
 
 def integrity(events: DataFrame) -> DataFrame:
-    """Runs that never completed, that completed without a START, and parents nobody ran.
+    """``findings`` of a log, which is read once."""
+    return findings(cut(runs(events)))
 
-    One row per finding; ``n_runs`` is the number of runs it concerns.
+
+def findings(table: DataFrame) -> DataFrame:
+    """Runs that never completed, that completed without a START, parents nobody ran, and runs whose
+    parents are a cycle.
+
+    ``table`` (of ``runs``) is read several times. One row per finding; ``n_runs`` is the number of
+    runs it concerns.
     """
-    table = runs(events)
     one = F.lit(1).cast("bigint").alias("n_runs")
     never = table.where(F.col("ended_at").isNull())
     unstarted = table.where(F.col("started_at").isNull())
@@ -198,10 +213,12 @@ def integrity(events: DataFrame) -> DataFrame:
         .agg(F.count("*").alias("n_runs"))
     )
     unknown = parents.join(table.select("run_id"), "run_id", "left_anti")
+    circling = run_roots(table).where(F.col("root_id").isNull())
     return (
         never.select(F.lit("never completed").alias("problem"), "run_id", one)
         .union(unstarted.select(F.lit("completed without start").alias("problem"), "run_id", one))
         .union(unknown.select(F.lit("parent unknown").alias("problem"), "run_id", "n_runs"))
+        .union(circling.select(F.lit("parents in a cycle").alias("problem"), "run_id", one))
     )
 
 
@@ -209,8 +226,9 @@ def run_roots(runs: DataFrame) -> DataFrame:
     """(run_id, root_id, depth): the topmost known run above each run.
 
     A parent id that matches no run makes its child a root. Each round doubles the distance every
-    run has looked up, so a tree of depth d takes log2(d) rounds. Runs on a cycle of parents have
-    no root and are left out.
+    run has looked up, so a tree of depth d takes log2(d) rounds. Runs on a cycle of parents, and
+    those below one, have NULL for root and depth: they are those left when a round finds no root,
+    as the depths of a tree have no gaps.
     """
     table = runs.select("run_id", F.col("parent_run_id").alias("up"))
     parents = table.where(F.col("up").isNotNull()).select(F.col("up").alias("run_id")).distinct()
@@ -244,13 +262,18 @@ def run_roots(runs: DataFrame) -> DataFrame:
         done = done.union(found)
         still = waiting.count()
         if still == left:
-            break
+            none = F.lit(None)
+            circling = waiting.select(
+                "run_id", none.cast("string").alias("root_id"), none.cast("bigint").alias("depth")
+            )
+            return done.union(circling)
         left = still
     return done
 
 
 def run_tree(runs: DataFrame) -> DataFrame:
-    """Steps and statements under each flow, rolled up: size, depth, span and open runs."""
+    """Steps and statements under each flow, rolled up: size, depth, span and open runs. Runs whose
+    parents are a cycle are one row without root and depth."""
     rooted = runs.join(run_roots(runs), "run_id")
     return rooted.groupBy("root_id").agg(
         F.count("*").alias("n_runs"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from stocktrail.lineage.graph import closure
-from stocktrail.lineage.runs import dedupe, edges, flow_edges, integrity, run_tree, runs
+from stocktrail.lineage.runs import dedupe, edges, findings, flow_edges, run_tree, runs
 from stocktrail.session import cut
 
 
@@ -28,7 +28,7 @@ def lineage_report(events: DataFrame) -> DataFrame:
     def total(name: str, df: DataFrame) -> DataFrame:
         return df.agg(F.count("*").alias("value")).withColumn("name", F.lit(name))
 
-    trees = run_tree(table).agg(
+    trees = run_tree(table).where(F.col("root_id").isNotNull()).agg(
         F.count("*").alias("trees"),
         F.max("depth").alias("depth"),
         F.max("n_runs").alias("largest"),
@@ -40,7 +40,7 @@ def lineage_report(events: DataFrame) -> DataFrame:
     ])))
     by_state = table.groupBy(F.col("state").alias("name")).agg(F.count("*").alias("value"))
     by_mode = links.groupBy(F.col("mode").alias("name")).agg(F.count("*").alias("value"))
-    problems = integrity(clean).groupBy(F.col("problem").alias("name")).agg(
+    problems = findings(table).groupBy(F.col("problem").alias("name")).agg(
         F.count("*").alias("value")
     )
     parts = [

@@ -85,8 +85,16 @@ def test_deep_tree_and_cycle_of_parents(spark):
              for i in range(12)]
     loop = [(f"x{i}", "ns", "j", at(0), None, f"x{(i + 1) % 3}", "ns", "j", None, None) for i in range(3)]
     below = [("y", "ns", "j", at(0), None, "x0", "ns", "j", None, None)]
-    roots = R.run_roots(R.runs(_events(spark, chain + loop + below)))
-    assert rows(roots, "depth", "run_id", "root_id") == [(i, f"c{i}", "c0") for i in range(12)]
+    events = _events(spark, chain + loop + below)
+    roots = R.run_roots(R.runs(events))
+    circling = ["x0", "x1", "x2", "y"]
+    assert rows(roots, "depth", "run_id", "root_id") == [(None, x, None) for x in circling] + [
+        (i, f"c{i}", "c0") for i in range(12)
+    ]
+    found = rows(R.integrity(events).where("problem = 'parents in a cycle'"), "run_id", "n_runs")
+    assert found == [(x, 1) for x in circling]
+    tree = {r.root_id: (r.n_runs, r.depth) for r in R.run_tree(R.runs(events)).collect()}
+    assert tree == {"c0": (12, 11), None: (4, None)}
 
 
 def test_a_parent_with_most_of_the_runs(spark):

@@ -131,3 +131,18 @@ def test_a_hot_key_is_split_even_below_an_aggregate_on_it(spark, no_broadcast):
     finally:
         for key in small:
             spark.conf.unset(key)
+
+
+def test_the_log_is_not_sorted_for_the_run_table(spark, no_broadcast, tmp_path):
+    from pyspark.sql import functions as F
+
+    from stocktrail.lineage import events as E, runs as R
+
+    made = spark.range(9).select(
+        F.col("id").cast("string").alias("run_id"), F.lit("n").alias("namespace"), F.lit("j").alias("job"),
+        F.current_timestamp().alias("started_at"),
+    )
+    E.to_events(made).write.parquet(str(tmp_path / "log"))
+    text = plan(R.runs(spark.read.parquet(str(tmp_path / "log"))))
+    # Plans read from the top: below the first text in a result, over the runs, all is hashed.
+    assert "HashAggregate" in text.rsplit("SortAggregate", 1)[1] and text.count("Scan parquet") == 1
