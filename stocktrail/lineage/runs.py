@@ -163,31 +163,49 @@ def schema_history(events: DataFrame) -> DataFrame:
 
 
 def dataset_lifecycle(events: DataFrame) -> DataFrame:
-    """Per dataset: first and last written, last read, schema versions and the current schema."""
-    read, write = F.col("d.mode") == "read", F.col("d.mode") == "write"
-    fields = F.when(write, F.to_json("d.fields"))
-    return (
+    """Per dataset: first and last written, last read, schema versions and the current schema.
+
+    Over the log a schema is part of the key and only times are added up, as in ``runs``; the JSON
+    text is made once per dataset and schema.
+    """
+    seen = (
         _touches(events)
-        .groupBy(F.col("d.namespace").alias("namespace"), F.col("d.name").alias("name"))
-        .agg(
-            F.min(F.when(write, F.col("eventTime"))).alias("first_written"),
-            F.max(F.when(write, F.col("eventTime"))).alias("last_written"),
-            F.max(F.when(read, F.col("eventTime"))).alias("last_read"),
-            F.countDistinct(fields).alias("n_versions"),
-            F.max(F.when(fields.isNotNull(), F.struct("eventTime", fields.alias("f"))))["f"].alias(
-                "current_schema"
-            ),
+        .groupBy(
+            F.col("d.namespace").alias("namespace"),
+            F.col("d.name").alias("name"),
+            F.col("d.mode").alias("mode"),
+            F.when(F.col("d.mode") == "write", F.col("d.fields")).alias("fields"),
         )
+        .agg(F.min("eventTime").alias("first"), F.max("eventTime").alias("last"))
+    )
+    read, write = F.col("mode") == "read", F.col("mode") == "write"
+    versions = seen.withColumn("schema", F.to_json("fields"))
+    latest = F.when(F.col("schema").isNotNull(), F.struct("last", "schema"))
+    return versions.groupBy("namespace", "name").agg(
+        F.min(F.when(write, F.col("first"))).alias("first_written"),
+        F.max(F.when(write, F.col("last"))).alias("last_written"),
+        F.max(F.when(read, F.col("last"))).alias("last_read"),
+        F.countDistinct("schema").alias("n_versions"),
+        F.max(latest)["schema"].alias("current_schema"),
     )
 
 
 def job_sources(events: DataFrame) -> DataFrame:
-    """Where the code of each job is kept, as last reported."""
+    """Where the code of each job is kept, as last reported. Places are keys over the log, so that
+    it is hashed, not sorted."""
     source = F.col("job.facets.sourceCodeLocation")
-    return (
+    places = (
         events.where(source.isNotNull())
-        .groupBy(F.col("job.namespace").alias("namespace"), F.col("job.name").alias("job"))
-        .agg(F.max(F.struct("eventTime", source.alias("s"))).alias("latest"))
+        .groupBy(
+            F.col("job.namespace").alias("namespace"),
+            F.col("job.name").alias("job"),
+            source.alias("s"),
+        )
+        .agg(F.max("eventTime").alias("last"))
+    )
+    return (
+        places.groupBy("namespace", "job")
+        .agg(F.max(F.struct("last", "s")).alias("latest"))
         .select("namespace", "job", "latest.s.url", "latest.s.branch", "latest.s.version")
     )
 

@@ -21,17 +21,17 @@ def retain(
     return events.where(F.col(time) >= since)
 
 
-def by_date(
-    events: DataFrame, time: str = "eventTime", run: str = "run.runId", period: str = "day"
-) -> DataFrame:
+def by_date(events: DataFrame, time: str = "eventTime", period: str = "day") -> DataFrame:
     """Events with their ``event_date``, placed for writing by it.
 
-    Ranges of (date, run) are of equal size: small days share a task and so make one file each,
-    a day with most of the events is split over many. ``period`` widens the dates to the first of
-    the week or month, for logs of few events a day.
+    They are placed by date, and by their measured sizes small days then share a task and so make
+    one file each, while a day with most of the events is split over many tasks, with it the days
+    that fell into the same partition of the shuffle. No sample is taken, so the events are worked
+    out once. ``period`` widens the dates to the first of the week or month, for logs of few events
+    a day.
     """
     dated = events.withColumn("event_date", F.to_date(F.date_trunc(period, time)))
-    return dated.repartitionByRange("event_date", run)
+    return dated.hint("rebalance", "event_date")
 
 
 def write_by_date(
@@ -104,31 +104,28 @@ def search(df: DataFrame, name: str, text: str) -> DataFrame:
 
 
 def profile(df: DataFrame, columns: list[str] | None = None) -> DataFrame:
-    """Per column: rows, NULLs, distinct values, least and greatest value (as text)."""
-    columns = columns or df.columns
-    aggs = [F.count("*").alias("row_count")]
-    for i, c in enumerate(columns):
-        aggs += [
-            F.count(c).alias(f"n{i}"),
-            F.countDistinct(c).alias(f"d{i}"),
-            F.min(c).cast("string").alias(f"lo{i}"),
-            F.max(c).cast("string").alias(f"hi{i}"),
-        ]
-    one = df.agg(*aggs)
-    per_column = F.array(
-        *[
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col("row_count"),
-                (F.col("row_count") - F.col(f"n{i}")).alias("null_count"),
-                F.col(f"d{i}").alias("distinct_count"),
-                F.col(f"lo{i}").alias("min"),
-                F.col(f"hi{i}").alias("max"),
-            )
-            for i, c in enumerate(columns)
-        ]
-    )
-    return one.select(F.inline(per_column))
+    """Per column: rows, NULLs, distinct values, least and greatest value (as text).
+
+    Each column is read by itself and counted by value, partly before the shuffle: a value that
+    most rows have is one row of each task, and no row is copied per column. ``df`` is worked out
+    once per column, of which a stored table reads that column alone.
+    """
+
+    def of(name: str) -> DataFrame:
+        column = F.col(f"`{name}`")
+        values = df.groupBy(column.alias("value")).agg(F.count("*").alias("n"))
+        return values.agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("row_count"),
+            F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("null_count"),
+            F.count("value").alias("distinct_count"),
+            F.min("value").cast("string").alias("min"),
+            F.max("value").cast("string").alias("max"),
+        ).select(F.lit(name).alias("column"), "*")
+
+    first, *rest = [of(name) for name in columns or df.columns]
+    for other in rest:
+        first = first.union(other)
+    return first
 
 
 def output_stats(df: DataFrame) -> DataFrame:

@@ -6,16 +6,16 @@ from pyspark.sql import DataFrame, functions as F
 
 from stocktrail.lineage.graph import closure
 from stocktrail.lineage.runs import dedupe, edges, findings, flow_edges, run_tree, runs
-from stocktrail.session import cut
+from stocktrail.session import cut, written
 
 
 def lineage_report(events: DataFrame) -> DataFrame:
     """One row per figure: (section, name, value).
 
-    The de-duplicated log is read by every section, so it is written once; likewise the run table
-    and the graph, which are small next to it.
+    The de-duplicated log is read by several sections, each of a few of its columns, so it is
+    written once as a table; the run table and the graph are small next to it.
     """
-    clean = cut(dedupe(events))
+    clean = written(dedupe(events), "distinct-events")
     table = cut(runs(clean))
     links = cut(edges(clean))
     graph = flow_edges(links)

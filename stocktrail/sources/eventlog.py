@@ -108,9 +108,20 @@ def parse_events(text: Column) -> list[Column]:
     ]
 
 
-def read_events(spark: SparkSession, path: str, streaming: bool = False) -> DataFrame:
-    """A JSON-lines event log."""
-    lines = (spark.readStream if streaming else spark.read).text(path)
+def read_events(
+    spark: SparkSession,
+    path: str,
+    streaming: bool = False,
+    files_per_batch: int | None = None,
+    bytes_per_batch: int | None = None,
+) -> DataFrame:
+    """A JSON-lines event log. A stream's batch is bounded by files or by bytes, not both."""
+    reader = spark.readStream if streaming else spark.read
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    if bytes_per_batch is not None:
+        reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
+    lines = reader.text(path)
     return lines.where(F.trim("value") != "").select(*parse_events(F.col("value")))
 
 

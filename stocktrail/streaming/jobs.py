@@ -76,7 +76,11 @@ def drain(
 def ingest(
     events: DataFrame, path: str, checkpoint: str, period: str = "day", **trigger
 ) -> StreamingQuery:
-    """Append run events to a Parquet log, by event date."""
+    """Append run events to a Parquet log, by event date.
+
+    How much a batch takes is set where ``events`` are read (``read_events``: files or bytes per
+    batch); a backlog is then several batches, each read once.
+    """
     return (
         by_date(events, period=period)
         .writeStream.format("parquet")

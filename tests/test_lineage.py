@@ -162,6 +162,22 @@ def test_schema_versions_and_sources(spark):
     assert rows(R.job_sources(events), "job", "url") == [("j", "url2")]
 
 
+def test_schemas_of_a_dataset_that_is_also_read(spark):
+    """Reads say nothing about the schema, nor do writes that report none."""
+    writes = _events(spark, [("w", "ns", "j", at(0), at(9), None, None, None, None, ["t"])])
+    reads = _events(spark, [("r", "ns", "k", at(20), at(30), None, None, None, ["t"], None)])
+    life = R.dataset_lifecycle(writes.union(reads)).first()
+    assert (life.first_written, life.last_written, life.last_read) == (at(0), at(9), at(30))
+    assert (life.n_versions, life.current_schema) == (0, None)
+
+
+@pytest.mark.parametrize("table", [R.runs, R.dataset_lifecycle, R.job_sources])
+def test_the_log_is_hashed_not_sorted(spark, table):
+    plan = table(_flow(spark))._jdf.queryExecution().executedPlan().toString()
+    below_first_shuffle = plan.rsplit("Exchange", 1)[1]
+    assert "HashAggregate" in below_first_shuffle and "SortAggregate" not in below_first_shuffle
+
+
 def test_unknown_facets_are_ignored_on_reading(spark, tmp_path):
     (tmp_path / "log.json").write_text(
         '{"eventType":"START","eventTime":"2024-01-01T00:00:00+02:00","run":{"runId":"a",'
@@ -246,6 +262,28 @@ def test_retention_and_writing_by_date(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(event_date" in scan
 
 
+def test_a_day_with_most_events_is_written_by_many_tasks(spark, tmp_path):
+    """Small days are one file each; the events come from eight tasks, so a day is at most eight files."""
+    shift = F.expr("make_dt_interval(CAST(IF(id % 1000 = 1, id % 7, 0) AS int))")
+    events = spark.range(0, 40_000, 1, 8).select(
+        (F.lit(T0) + shift).alias("eventTime"), F.sha2(F.col("id").cast("string"), 256).alias("x")
+    )
+    small = {
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256k",
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "64",
+    }
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        U.write_by_date(events, str(tmp_path / "log"))
+    finally:
+        for key in small:
+            spark.conf.unset(key)
+    files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "log").glob("event_date=*")}
+    assert len(files) == 7 and files.pop("event_date=2024-01-01") > 3 and max(files.values()) <= 2
+    assert spark.read.parquet(str(tmp_path / "log")).count() == 40_000
+
+
 def test_retention_of_a_log_by_month(spark, tmp_path):
     events = _flow(spark)
     U.write_by_date(events, str(tmp_path / "log"), period="month")
@@ -278,6 +316,21 @@ def test_profile_and_statistics(spark):
     df = spark.createDataFrame([(1, "a"), (2, None), (2, "b")], "x int, y string")
     assert rows(U.profile(df)) == [("x", 3, 0, 2, "1", "2"), ("y", 3, 1, 2, "a", "b")]
     assert U.output_stats(df).first().row_count == 3
+    assert rows(U.profile(df.limit(0), ["y"])) == [("y", 0, 0, 0, None, None)]
+    assert rows(U.profile(df.withColumnRenamed("y", "a.b"), ["a.b"])) == [("a.b", 3, 1, 2, "a", "b")]
+
+
+def test_a_profile_copies_no_rows_and_reads_each_column_alone(spark, tmp_path):
+    data = spark.range(1000).select(F.lit("hot").alias("x"), "id", (F.col("id") % 7).cast("double").alias("y"))
+    data.write.parquet(str(tmp_path / "t"))
+    profile = U.profile(spark.read.parquet(str(tmp_path / "t")))
+    plan = profile._jdf.queryExecution().executedPlan().toString()
+    assert rows(profile) == [
+        ("id", 1000, 0, 1000, "0", "999"), ("x", 1000, 0, 1, "hot", "hot"), ("y", 1000, 0, 7, "0.0", "6.0")
+    ]
+    assert "Expand" not in plan and plan.count("ReadSchema") == 3
+    for schema in ("struct<x:string>", "struct<id:bigint>", "struct<y:double>"):
+        assert f"ReadSchema: {schema}" in plan
 
 
 # Graphs

@@ -160,6 +160,20 @@ def test_ingest_by_day(spark, tmp_path):
     ]
 
 
+@pytest.mark.parametrize("bound", [{"files_per_batch": 1}, {"bytes_per_batch": 1}, {}])
+def test_a_backlog_is_taken_in_bounded_batches(spark, tmp_path, bound):
+    log = str(tmp_path / "log")
+    for i in range(3):
+        run = (f"r{i}", "ns", "j", at(i), at(90_000), *(None,) * 5)
+        eventlog.write_events(_events(spark, [run]).coalesce(1), log)
+    stream = eventlog.read_events(spark, log, streaming=True, **bound)
+    query = J.ingest(stream, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    query.awaitTermination()
+    read = [p["numInputRows"] for p in query.recentProgress if p["numInputRows"]]
+    assert read == ([2, 2, 2] if bound else [6])
+    assert spark.read.parquet(str(tmp_path / "out")).select("run.runId", "eventType").distinct().count() == 6
+
+
 @pytest.mark.parametrize(
     "change, count",
     [({}, 1), ({"status": "Rejected"}, 0), ({"group": "other"}, 0), ({"source": "elsewhere"}, 0)],
