@@ -36,7 +36,7 @@ BLOCK_TAGS = frozenset(
 #: Tags that are left out with all they hold, where they are closed.
 HIDDEN_TAGS = frozenset("noscript template svg iframe select button object canvas audio video".split())
 BOILERPLATE_TAGS = frozenset("nav footer aside form menu head dialog".split())
-#: Words that make up a class, id or role; a name with any other word in it says nothing.
+#: Words of a class, id or role; a name with a word in it that is in none of these lists says nothing.
 BOILERPLATE_NAMES = frozenset(
     "ad ads advert adverts advertisement sponsor sponsored promo promotion banner cookie cookies consent notice alert "
     "sidebar widget menu nav navigation navbar breadcrumb breadcrumbs comment comments respond reply replies disqus share "
@@ -44,7 +44,19 @@ BOILERPLATE_NAMES = frozenset(
     "pagination pager copyright disclaimer search complementary contentinfo".split()
 )
 CONTENT_NAMES = frozenset("article main content post entry story body text".split())
+#: Of these, what is no part of the article even in an ``article`` of its own.
+ASIDE_NAMES = frozenset("comment comments respond reply replies disqus related recommended".split())
+#: Words that say how much or where, beside those of boilerplate: ``comment-list``, ``ad-slot``.
+HOLDER_NAMES = CONTENT_NAMES | frozenset(
+    "area articles bar block bottom box button buttons column container count footer group header icon icons inner item "
+    "items left link links list meta module outer page panel posts reader region right row section site slot stories "
+    "thread title top tree unit user wrap wrapper zone".split()
+)
 FEATURES = 8
+#: Weights of the features where no page tells its content from the rest: long blocks with stops and without links.
+PRIOR = (-1.5, 0.3, -3.0, 2.0, -0.25, 0.5, -0.5, 1.0)
+#: Capacities below this are none.
+_LEAST = 1e-9
 
 
 @dataclass(frozen=True)
@@ -64,7 +76,7 @@ class Block:
     text: str
     path: tuple[int, ...]
     tag: str
-    kind: int  # 1 inside content, -1 inside boilerplate, 0 not known
+    kind: int  # over 0 inside content, under 0 inside boilerplate, 0 not known
     linked: int  # characters within links
     features: list[float] = field(default_factory=list)
 
@@ -95,22 +107,26 @@ def _hidden(tokens: list[re.Match]) -> dict[int, int]:
 
 
 def _named(attributes: str) -> int:
-    """1 if a class, id or role is made of words for content, -1 if one is of words for boilerplate."""
+    """1 if a class, id or role is made of words for content; -1 if one has a word for boilerplate
+    and else only such or words for holders of it, -2 if that word is in ``ASIDE_NAMES``."""
     kind = 0
     for names in _NAMES.findall(attributes):
         for name in names.lower().split():
             words = set(_WORD.findall(name))
-            if words and words <= BOILERPLATE_NAMES:
-                return -1
-            if words and words <= CONTENT_NAMES:
-                kind = 1
+            if words & BOILERPLATE_NAMES and words <= BOILERPLATE_NAMES | HOLDER_NAMES:
+                kind = min(kind, -2 if words & ASIDE_NAMES else -1)
+            elif words == {"site", "header"}:
+                kind = min(kind, -1)
+            elif words and words <= CONTENT_NAMES:
+                kind = kind or 1
     return kind
 
 
 def blocks(page: str | None) -> list[Block]:
     """The text blocks of a page in order; scripts, styles and comments are none.
 
-    An ``article`` or ``main`` is content wherever it stands, unless its own names say otherwise.
+    An ``article`` or ``main`` is content wherever it stands, unless its own names say otherwise or
+    it stands in comments or in what is related.
     """
     out: list[Block] = []
     stack: list[tuple[str, int, int]] = [("", 0, 0)]  # tag, number, kind
@@ -166,7 +182,9 @@ def blocks(page: str | None) -> list[Block]:
         kind = stack[-1][2]
         attributes = m.group(4)
         named = _named(attributes) if attributes and tag not in ("html", "body") else 0
-        if tag in ("article", "main"):
+        if kind == -2 or named == -2:
+            kind = -2
+        elif tag in ("article", "main"):
             kind = 1 if named >= 0 else -1
         elif kind >= 0:
             if tag in BOILERPLATE_TAGS or (tag == "header" and kind == 0):
@@ -195,9 +213,9 @@ def minimum_cut(content: list[float], boilerplate: list[float], ties: list[tuple
     """Which blocks lie on the content side of a minimum cut.
 
     ``content[i]`` is what it costs to call block i boilerplate, ``boilerplate[i]`` to call it
-    content, a tie what it costs to part two blocks. Maximum flow by shortest augmenting paths;
-    what runs straight through one block is settled first. Of equal cuts, the one with the fewest
-    blocks of content.
+    content, a tie what it costs to part two blocks. Maximum flow in rounds, each of which fills all
+    shortest ways from the source to the sink; what runs straight through one block is settled
+    first. Of equal cuts, the one with the fewest blocks of content.
     """
     n = len(content)
     excess = [a - b for a, b in zip(content, boilerplate)]  # over 0: from the source, under: to the sink
@@ -206,29 +224,45 @@ def minimum_cut(content: list[float], boilerplate: list[float], ties: list[tuple
         near[i][j] = near[i].get(j, 0.0) + w
         near[j][i] = near[j].get(i, 0.0) + w
     while True:
-        came = {i: -1 for i in range(n) if excess[i] > 1e-9}
-        queue = list(came)
-        found = -1
+        sources = [i for i in range(n) if excess[i] > _LEAST]
+        away = [-1] * n
+        for i in sources:
+            away[i] = 0
+        queue, nearest = list(sources), n
         for i in queue:
-            if excess[i] < -1e-9:
-                found = i
-                break
             for j, w in near[i].items():
-                if w > 1e-9 and j not in came:
-                    came[j] = i
+                if w > _LEAST and away[j] < 0:
+                    away[j] = away[i] + 1
                     queue.append(j)
-        if found < 0:
-            return [i in came for i in range(n)]
-        path, i = [], found
-        while came[i] >= 0:
-            path.append((came[i], i))
-            i = came[i]
-        flow = min([excess[i], -excess[found], *[near[a][b] for a, b in path]])
-        excess[i] -= flow
-        excess[found] += flow
-        for a, b in path:
-            near[a][b] -= flow
-            near[b][a] += flow
+                    if excess[j] < -_LEAST:
+                        nearest = min(nearest, away[j])
+        if nearest == n:
+            return [steps >= 0 for steps in away]
+        untried = [iter(list(ends)) for ends in near]
+        at: list[int | None] = [next(ends, None) for ends in untried]
+        for source in sources:
+            while excess[source] > _LEAST:
+                path = [source]
+                while path and excess[path[-1]] >= -_LEAST:
+                    i = path[-1]
+                    j = at[i] if away[i] < nearest else None
+                    if j is None:
+                        path.pop()
+                        if path:
+                            at[path[-1]] = next(untried[path[-1]], None)
+                    elif away[j] == away[i] + 1 and near[i][j] > _LEAST:
+                        path.append(j)
+                    else:
+                        at[i] = next(untried[i], None)
+                if not path:
+                    break
+                pairs = list(zip(path, path[1:]))
+                flow = min([excess[source], -excess[path[-1]], *[near[i][j] for i, j in pairs]])
+                excess[source] -= flow
+                excess[path[-1]] += flow
+                for i, j in pairs:
+                    near[i][j] -= flow
+                    near[j][i] += flow
 
 
 def main_text(page: str | None, weights: np.ndarray, rule: Rule) -> str:
@@ -265,13 +299,13 @@ def _sample_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
 
 def fit(pages: DataFrame, rule: Rule) -> np.ndarray:
     """Weights of a logistic regression of blocks' shapes, on the blocks of at most
-    ``rule.sample`` pages whose places tell which they are; zeros without such."""
+    ``rule.sample`` pages whose places tell which they are; ``PRIOR`` without such."""
     sample = pages.orderBy(F.xxhash64("page_id", "html"), "page_id").limit(rule.sample).select("html")
     rows = sample.mapInArrow(_sample_blocks, "content boolean, features array<double>").toPandas()
-    weights = np.zeros(FEATURES)
     y = rows["content"].to_numpy(dtype=float)
     if not len(y) or y.min() == y.max():
-        return weights
+        return np.array(PRIOR)
+    weights = np.zeros(FEATURES)
     x = np.stack(rows["features"].to_numpy())
     # Both kinds weigh the same, however many blocks each has.
     each = np.where(y > 0, 0.5 / y.sum(), 0.5 / (1 - y).sum())

@@ -3,6 +3,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -147,6 +148,46 @@ def test_an_article_is_kept_whatever_stands_around_it(page):
     assert main_text(page % ARTICLE, np.zeros(8), CutRule()) == "Title\nA whole story, told at length."
 
 
+@pytest.mark.parametrize(
+    "name",
+    "comment-list comments-area post-comments reader-comments user-comments comment-body related-posts share-buttons "
+    "ad-slot site-footer site-header cookie-bar main-menu comments_thread post-footer newsletter-box".split(),
+)
+def test_what_names_make_no_part_of_an_article(name):
+    inner = "<div class='%s'><p>No part of it, though it is long, too, and has stops.</p>%s</div>"
+    page = f"<body>{inner % (name, '')}{ARTICLE[:-10]}{inner % ('wide ' + name, '')}</article></body>"
+    if name.startswith(("comment", "related")):
+        page += inner % (name, "<article><p>What a reader said.</p></article>")
+    if name != "site-header":
+        assert main_text(page, np.zeros(8), CutRule()) == "Title\nA whole story, told at length."
+    assert "No part" not in main_text(page.replace("article", "main"), np.zeros(8), CutRule())
+
+
+@pytest.mark.parametrize("name", "post-content article-body entry-header content-wrapper story-social-history page-title".split())
+def test_what_names_leave_in_an_article(name):
+    page = f"<article><div class='{name}'><p>A whole story.</p></div></article>"
+    assert main_text(page, np.zeros(8), CutRule()) == "A whole story."
+
+
+def test_pages_that_mark_nothing(spark):
+    menu = "".join(f"<li><a href='/{i}'>Part {i}</a></li>" for i in range(8))
+    story = "".join(f"<p>The story goes on, as told by all who were there, and then on again, {i}.</p>" for i in range(8))
+    pages = spark.createDataFrame([(1, "u", f"<ul>{menu}</ul><div>{story}</div>")], "page_id long, url string, html string")
+    text = extract(pages).first().text
+    assert text.count("The story") == 8 and "Part" not in text
+
+
+def test_a_cut_of_many_blocks_takes_little():
+    random = np.random.default_rng(3)
+    n = 12_000
+    side = np.where(random.random(n) < 0.5, 1, 0)
+    costs = random.random((2, n)) * 3
+    ties = [(i, j, float(w)) for i in range(n) for j, w in zip(range(i + 1, min(i + 3, n)), random.random(2))]
+    began = time.process_time()
+    keep = minimum_cut((costs[0] * side).tolist(), (costs[1] * (1 - side)).tolist(), ties)
+    assert 0 < sum(keep) < n and time.process_time() - began < 10
+
+
 @pytest.mark.parametrize("page", [None, "", "<", "<p", "plain", "<p>a</", "<!--", "<script>x", "<a href='", "&amp", "<div>" * 3000 + "x"])
 def test_broken_pages_do_no_harm(page):
     assert isinstance(main_text(page, np.zeros(8), CutRule()), str)
