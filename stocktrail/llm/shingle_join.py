@@ -135,7 +135,9 @@ def _segments(rule: Jaccard, band: int, shingle: np.ndarray):
     """Segments of a band: (two-unit ones, one-unit ones, segment of each shingle)."""
     low, high = 1 << band, (2 << band) - 1
     most = rule.distance(high, rule.most_partner(high))
-    place = (mix(shingle + PLACES[40 + band % 16] * U64(band + 1)) >> U64(11)).astype(np.float64)
+    with np.errstate(over="ignore"):
+        salt = PLACES[40 + band % 16] * U64(band + 1)
+        place = (mix(shingle + salt) >> U64(11)).astype(np.float64)
     place *= 2.0**-53
     twos, share = 0, 0.0
     if band in rule.deletion_bands:
@@ -146,57 +148,96 @@ def _segments(rule: Jaccard, band: int, shingle: np.ndarray):
     return twos, ones, segment
 
 
-def _subsets(segment: np.ndarray, element: np.ndarray, count: int):
-    """(segments that are not empty, sizes, sums of their elements): a key is a mix of a sum, so
-    that a deletion is a subtraction."""
-    total = np.zeros(count, dtype=np.uint64)
-    with np.errstate(over="ignore"):
-        np.add.at(total, segment, element)
-    size = np.bincount(segment, minlength=count)
-    full = np.flatnonzero(size)
-    return full, size[full], total
-
-
-def _keys(band: int, segments: np.ndarray, sums: np.ndarray) -> np.ndarray:
-    with np.errstate(over="ignore"):
-        return mix(sums + (segments.astype(np.uint64) + U64(1)) * PLACES[51] + U64(band) * PLACES[52])
-
-
-def _all_keys(rule: Jaccard, shingle: np.ndarray) -> Iterator[np.ndarray]:
-    """Keys of the one-unit segments that a set might index."""
-    element = mix(shingle ^ PLACES[50])
-    for band, _ in _schemes(rule, int(shingle.size)):
-        twos, ones, segment = _segments(rule, band, shingle)
-        full, _, total = _subsets(segment, element, twos + ones)
-        full = full[full >= twos]
-        yield _keys(band, full, total[full])
-
-
-def signatures(rule: Jaccard, shingle: np.ndarray, hot: Hot) -> np.ndarray:
-    """Keys under which a set is indexed. They differ but for chance and some deletions."""
-    out = []
-    element = mix(shingle ^ PLACES[50])
-    for band, most in _schemes(rule, int(shingle.size)):
-        twos, ones, segment = _segments(rule, band, shingle)
-        full, size, total = _subsets(segment, element, twos + ones)
+class _Subsets:
+    """The subsets of many sets in the segments of a band, one cell per set and segment. A key is a
+    mix of the sum of a subset's elements, so that a deletion is a subtraction."""
+
+    def __init__(self, rule: Jaccard, band: int, sets: list[np.ndarray]):
+        shingle = np.concatenate(sets)
+        self.band = band
+        self.twos, self.ones, segment = _segments(rule, band, shingle)
+        self.count = self.twos + self.ones
+        owner = np.repeat(np.arange(len(sets)), [s.size for s in sets])
+        self.cell = owner * self.count + segment
+        self.element = mix(shingle ^ PLACES[50])
+        self.sums = np.zeros(len(sets) * self.count, dtype=np.uint64)
+        with np.errstate(over="ignore"):
+            np.add.at(self.sums, self.cell, self.element)
+        self.sizes = np.bincount(self.cell, minlength=self.sums.size)
+
+    def keys(self, cells: np.ndarray, less: np.ndarray | None = None) -> np.ndarray:
+        segments = (cells % self.count).astype(np.uint64)
+        with np.errstate(over="ignore"):
+            sums = self.sums[cells] if less is None else self.sums[cells] - less
+            return mix(sums + (segments + U64(1)) * PLACES[51] + U64(self.band) * PLACES[52])
+
+    def full(self) -> np.ndarray:
+        """Cells of one-unit segments that are not empty."""
+        cells = np.flatnonzero(self.sizes)
+        return cells[cells % self.count >= self.twos] if self.twos else cells
+
+
+def _by_band(rule: Jaccard, sets: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, _Subsets]]:
+    """Per band: (indices of the sets that are signed in it, their most distances, their subsets)."""
+    bands: dict[int, list[tuple[int, int]]] = {}
+    for i, one in enumerate(sets):
+        if one.size:
+            for band, most in _schemes(rule, int(one.size)):
+                bands.setdefault(band, []).append((i, most))
+    for band, signed in bands.items():
+        index, most = np.array(signed, dtype=np.int64).T
+        yield index, most, _Subsets(rule, band, [sets[i] for i in index])
+
+
+def possible_keys(rule: Jaccard, sets: list[np.ndarray]) -> Iterator[np.ndarray]:
+    """Keys of the one-unit segments that the sets might index."""
+    for _, _, subsets in _by_band(rule, sets):
+        yield subsets.keys(subsets.full())
+
+
+def _order(counts: np.ndarray, sizes: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Rare keys first, then those of large subsets, then by the key: what is left of ties is
+    settled by the segment, so that the order is the same for all sets."""
+    rare = np.minimum(counts, (1 << 24) - 1).astype(np.uint64) << U64(40)
+    large = (255 - np.minimum(sizes, 255)).astype(np.uint64) << U64(32)
+    return rare | large | keys >> U64(32)
+
+
+def signatures(rule: Jaccard, sets: list[np.ndarray], hot: Hot) -> tuple[np.ndarray, np.ndarray]:
+    """(index of the set, key) for all keys under which the sets are indexed. Those of one set
+    differ but for chance and some deletions."""
+    owners, keys = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
+    for index, most, subsets in _by_band(rule, sets):
+        twos, count = subsets.twos, subsets.count
         if twos:
-            first = np.arange(twos)
-            out.append(_keys(band, first, total[:twos]))
-            mine = segment < twos
-            with np.errstate(over="ignore"):
-                out.append(_keys(band, segment[mine], total[segment[mine]] - element[mine]))
-        need = most + 1 - 2 * twos
-        if need > 0:
-            one = full >= twos
-            full, size = full[one], size[one]
-            key = _keys(band, full, total[full])
-            # Rare first, then large; the key settles ties, the same way for every set.
-            out.append(key[np.lexsort((key, -size, hot.counts_of(key)))[:need]])
-            if len(full) < need:
+            first = (np.arange(len(index))[:, None] * count + np.arange(twos)).ravel()
+            mine = np.flatnonzero(subsets.cell % count < twos)
+            cells = subsets.cell[mine]
+            owners += [index[first // count], index[cells // count]]
+            keys += [subsets.keys(first), subsets.keys(cells, subsets.element[mine])]
+        full = subsets.full()
+        key = subsets.keys(full)
+        order = _order(hot.counts_of(key), subsets.sizes[full], key)
+        ends = np.searchsorted(full, np.arange(len(index) + 1) * count)
+        needs = np.maximum(most + 1 - 2 * twos, 0)
+        chosen, empty = [], []
+        for i, need in enumerate(needs):
+            a, b = ends[i], ends[i + 1]
+            if b - a > need:
+                chosen.append(a + np.argsort(order[a:b], kind="stable")[:need])
+            else:
+                chosen.append(np.arange(a, b))
                 # Empty segments come last, in their own order.
-                empty = np.setdiff1d(np.arange(twos, twos + ones), full)
-                out.append(_keys(band, empty[: need - len(full)], total[empty[: need - len(full)]]))
-    return np.concatenate(out)
+                none = np.flatnonzero(subsets.sizes[i * count + twos : (i + 1) * count] == 0)
+                empty.append(i * count + twos + none[: need - (b - a)])
+        chosen = np.concatenate(chosen)
+        owners.append(index[full[chosen] // count])
+        keys.append(key[chosen])
+        if empty:
+            cells = np.concatenate(empty)
+            owners.append(index[cells // count])
+            keys.append(subsets.keys(cells))
+    return np.concatenate(owners), np.concatenate(keys)
 
 
 def _sizes_and_counts(rule: Jaccard):
@@ -207,11 +248,10 @@ def _sizes_and_counts(rule: Jaccard):
         for batch in batches:
             size = np.zeros(batch.num_rows, dtype=np.int64)
             for part in slices(batch.column(1)):
-                for i, shingle in enumerate(shingles(part, rule.words), part.first):
-                    size[i] = shingle.size
-                    if shingle.size:
-                        for keys in _all_keys(rule, shingle):
-                            often.add(keys)
+                sets = list(shingles(part, rule.words))
+                size[part.first : part.first + part.n] = [s.size for s in sets]
+                for keys in possible_keys(rule, sets):
+                    often.add(keys)
             yield pa.record_batch(
                 [batch.column(0), pa.array(size), pa.nulls(batch.num_rows, pa.int64())],
                 names=["doc_id", "n_shingles", "key"],
@@ -227,19 +267,12 @@ def _signed(rule: Jaccard, hot):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Hot(*hot.value)
         for batch in batches:
+            doc = batch.column(0).to_numpy()
             for part in slices(batch.column(1)):
-                keys = [
-                    signatures(rule, s, known) if s.size else s
-                    for s in shingles(part, rule.words)
-                ]
-                ends = np.concatenate([[0], np.cumsum([k.size for k in keys])]).astype(np.int32)
-                flat = np.concatenate(keys).view(np.int64) if keys else np.zeros(0, np.int64)
+                owner, keys = signatures(rule, list(shingles(part, rule.words)), known)
                 yield pa.record_batch(
-                    [
-                        batch.column(0).slice(part.first, part.n),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)),
-                    ],
-                    names=["doc", "keys"],
+                    [pa.array(doc[part.first + owner]), pa.array(keys.view(np.int64))],
+                    names=["doc", "key"],
                 )
 
     return run
@@ -447,11 +480,7 @@ def jaccard_components(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
     )
     hot = often["key"].to_numpy(dtype=np.int64).view(np.uint64), often["n"].to_numpy(dtype=np.int64)
     known = spark.sparkContext.broadcast(hot)
-    keys = (
-        docs.where("doc_id is not null")
-        .mapInArrow(_signed(rule, known), "doc long, keys array<bigint>")
-        .select("doc", F.explode("keys").alias("key"))
-    )
+    keys = docs.where("doc_id is not null").mapInArrow(_signed(rule, known), "doc long, key long")
     by_key = Window.partitionBy("key").orderBy("doc").rowsBetween(Window.unboundedPreceding, 0)
     shared = written(
         keys.withColumn("least", F.first("doc").over(by_key)).where("doc != least"), "shared-keys"

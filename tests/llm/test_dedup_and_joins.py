@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from stocktrail.llm import shingle_join
 from stocktrail.llm.components import components
 from stocktrail.llm.exact_dedup import exact_duplicates
-from stocktrail.llm.shingle_join import Jaccard, jaccard_components, signatures
+from stocktrail.llm.shingle_join import Jaccard, jaccard_components, possible_keys, signatures
 from tests.llm import reference
 
 
@@ -79,10 +79,28 @@ def test_linked_sets_share_a_key_whatever_is_frequent():
             other = np.unique(np.append(other, rng.integers(1, 2**63, far - min(gone, size), dtype=np.uint64)))
             if not other.size or not rule.linked(base, other):
                 continue
-            every = np.unique(np.concatenate([k for s in (base, other) for k in shingle_join._all_keys(rule, s)]))
+            every = np.unique(np.concatenate(list(possible_keys(rule, [base, other]))))
             some = np.sort(rng.choice(every, every.size // 2, replace=False))
             hot = shingle_join.Hot(some, rng.integers(1, 9, some.size))
-            assert np.intersect1d(signatures(rule, base, hot), signatures(rule, other, hot)).size
+            (_, a), (_, b) = signatures(rule, [base], hot), signatures(rule, [other], hot)
+            assert np.intersect1d(a, b).size
+
+
+def test_sets_signed_together_get_the_keys_they_get_alone():
+    import numpy as np
+
+    rng, rule = np.random.default_rng(8), Jaccard()
+    sizes = [0, 1, 2, 5, 16, 17, 31, 40, 63, 64, 85, 300, 0, 16, 1500, 3]
+    sets = [np.unique(rng.integers(1, 2**63, n, dtype=np.uint64)) for n in sizes]
+    sets.append(sets[5])
+    every = np.unique(np.concatenate(list(possible_keys(rule, sets))))
+    some = rng.choice(every, every.size // 3, replace=False)
+    hot = shingle_join.Hot(some, rng.integers(1, 1 << 26, some.size))
+    owner, keys = signatures(rule, sets, hot)
+    for i, one in enumerate(sets):
+        alone = signatures(rule, [one], hot)[1]
+        assert np.array_equal(np.sort(keys[owner == i]), np.sort(alone))
+        assert bool(alone.size) == bool(one.size)
 
 
 def test_parities_differ_in_no_more_places_than_sets():
