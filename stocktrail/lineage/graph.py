@@ -28,6 +28,10 @@ def closure(
     A round joins only the nodes found in the last one, and drops what was found before, so cycles
     end. Every round is written out: its plan does not grow with the rounds before it, and a lost
     executor does not set it back to the first.
+
+    Neither the edges nor what was reached are ever sent whole to the driver: Spark takes their size
+    from the compressed files below them, a few bytes a row, and would broadcast millions of rows
+    once a round. Both sides of a join are shuffled and merged.
     """
     if direction not in ("downstream", "upstream"):
         raise ValueError(f"unknown direction: {direction}")
@@ -41,10 +45,10 @@ def closure(
     while max_depth is None or depth < max_depth:
         depth += 1
         found = (
-            frontier.join(steps, frontier["node"] == steps["src"])
+            frontier.join(steps.hint("merge"), frontier["node"] == steps["src"])
             .select("label", F.col("dst").alias("node"))
             .distinct()
-            .join(reached, ["label", "node"], "left_anti")
+            .join(reached.hint("merge"), ["label", "node"], "left_anti")
         )
         frontier = cut(found.withColumn("depth", F.lit(depth).cast("bigint")))
         if frontier.isEmpty():
@@ -106,5 +110,5 @@ def column_impact(edges: DataFrame, columns: DataFrame) -> DataFrame:
     graph = column_graph(edges)
     reached = closure(graph, columns.select(F.col("node").alias("label"), "node"))
     inner = graph.where(F.col("src") != F.col("dst")).select(F.col("src").alias("node")).distinct()
-    final = reached.where(F.col("depth") > 0).join(inner, "node", "left_anti")
+    final = reached.where(F.col("depth") > 0).join(inner.hint("merge"), "node", "left_anti")
     return final.select(F.col("label").alias("source"), F.col("node").alias("final"), "depth")

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stocktrail.lineage import events as E, graph as G, runs as R, statements as Q, upkeep as U
 from stocktrail.plans.lineage_report import lineage_report
 from stocktrail.sources import eventlog
+from stocktrail.session import cut
 from tests.conftest import rows
 
 T0 = dt.datetime(2024, 1, 1, 10)
@@ -431,3 +432,25 @@ def test_an_empty_log(spark):
     empty = _events(spark, [])
     figures = {(r.section, r.name): r.value for r in lineage_report(empty).collect()}
     assert figures[("log", "events")] == 0 and ("findings", "parent unknown") not in figures
+
+
+def test_a_walk_broadcasts_nothing(spark, monkeypatch, tmp_path):
+    """Edges and reached rows are as large as the log, however small their files look."""
+    plans = []
+
+    def recorded(df):
+        plans.append(df._jdf.queryExecution().toString())
+        return cut(df)
+
+    monkeypatch.setattr(G, "cut", recorded)
+    spark.createDataFrame(
+        [("a", "x", "raw", "x"), ("b", "x", "a", "x"), ("c", "x", "b", "x")],
+        "out_table string, out_column string, in_table string, in_column string",
+    ).write.parquet(f"{tmp_path}/edges")
+    edges = spark.read.parquet(f"{tmp_path}/edges")
+    sources = spark.createDataFrame([("raw.x",)], "node string")
+    got = G.column_impact(edges, sources)
+    plans.append(got._jdf.queryExecution().toString())
+    assert rows(got, "source", "final", "depth") == [("raw.x", "c.x", 3)]
+    assert sum("SortMergeJoin" in plan for plan in plans) > 3
+    assert not [plan for plan in plans if "BroadcastExchange" in plan]
