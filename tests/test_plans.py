@@ -146,3 +146,19 @@ def test_the_log_is_not_sorted_for_the_run_table(spark, no_broadcast, tmp_path):
     text = plan(R.runs(spark.read.parquet(str(tmp_path / "log"))))
     # Plans read from the top: below the first text in a result, over the runs, all is hashed.
     assert "HashAggregate" in text.rsplit("SortAggregate", 1)[1] and text.count("Scan parquet") == 1
+
+
+@pytest.mark.parametrize(
+    "name",
+    [
+        "stock_outs_ahead",
+        "forecast_carried_forward",
+        "failed_fills_of_orders_placed",
+        "age_of_oldest_open_order",
+    ],
+)
+def test_daily_queries_return_their_days(spark, name):
+    """Not totals of them."""
+    got = QUERIES[name].run(spark, FOLDER)
+    days = got.groupBy("product_id").agg(F.countDistinct("date").alias("n")).agg(F.max("n")).first()[0]
+    assert "date" in got.columns and days > 100
