@@ -20,3 +20,21 @@ def test_scratch_is_below_the_configured_folder(spark):
 def test_written_and_cut_keep_the_rows(spark):
     df = spark.createDataFrame([(1, "a"), (None, "b")], "x int, y string")
     assert rows(session.written(df, "t")) == rows(session.cut(df)) == rows(df)
+
+
+def test_tasks_grow_in_number_with_the_input(spark, tmp_path, monkeypatch):
+    spark.range(1000).write.parquet(f"{tmp_path}/small.parquet")
+    changed = [session.INITIAL_PARTITIONS, "spark.sql.files.maxPartitionBytes"]
+    before = {key: spark.conf.get(key, None) for key in changed}
+    try:
+        for key in changed:
+            spark.conf.unset(key)
+        session.fit_to_input(spark, str(tmp_path))
+        assert session.shuffle_partitions(spark) == 4
+        monkeypatch.setattr(session, "PARTITION_BYTES", 100)
+        session.fit_to_input(spark, str(tmp_path))
+        assert session.shuffle_partitions(spark) > 20
+        assert spark.conf.get("spark.sql.files.maxPartitionBytes") == str(session.SPLIT_BYTES)
+    finally:
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
