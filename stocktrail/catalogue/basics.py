@@ -115,13 +115,11 @@ def gzip_event_log_round_trip(t: Tables) -> DataFrame:
 )
 def event_json_round_trip(t: Tables) -> DataFrame:
     events = step_events(S.step_runs(t))
-    parsed = F.struct(*eventlog.parse_events(F.col("text")))
     whole = F.struct(*[F.col(c) for c in events.columns])
     # Maps can not be compared; their JSON can.
+    sent = events.withColumns({"before": F.to_json(whole), "text": eventlog.event_json(events)})
     return (
-        events.withColumn("before", F.to_json(whole))
-        .withColumn("text", eventlog.event_json(events))
-        .withColumn("back", parsed)
+        eventlog.with_parsed(sent, "text", "back")
         .select(
             F.col("back.run.runId").alias("run_id"),
             F.col("back.eventType").alias("eventType"),

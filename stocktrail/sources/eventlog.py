@@ -98,14 +98,20 @@ def _with_facets(value: Column, kind: T.DataType, change) -> Column:
     return F.when(value.isNotNull(), F.struct(*fields))
 
 
-def parse_events(text: Column) -> list[Column]:
-    """The columns of an event from its JSON text; the schema is declared, so no pass is spent on
-    inferring it. What is no event gives NULLs."""
-    event = F.from_json(text, _as_read(EVENT_SCHEMA))
-    return [
+def with_parsed(df: DataFrame, text: str, name: str) -> DataFrame:
+    """``df`` with the event that the JSON in column ``text`` tells, as a struct ``name``; the schema
+    is declared, so no pass is spent on inferring it. What is no event gives NULLs.
+
+    The text is parsed in a column of its own, once; every field of an event has it parsed anew
+    where it is taken from the expression itself.
+    """
+    event = F.col("_parsed")
+    fields = [
         _with_facets(event[f.name], f.dataType, _declared).cast(f.dataType).alias(f.name)
         for f in EVENT_SCHEMA.fields
     ]
+    parsed = df.withColumn("_parsed", F.from_json(text, _as_read(EVENT_SCHEMA)))
+    return parsed.withColumn(name, F.struct(*fields)).drop("_parsed")
 
 
 def read_events(
@@ -122,7 +128,7 @@ def read_events(
     if bytes_per_batch is not None:
         reader = reader.option("maxBytesPerTrigger", bytes_per_batch)
     lines = reader.text(path)
-    return lines.where(F.trim("value") != "").select(*parse_events(F.col("value")))
+    return with_parsed(lines.where(F.trim("value") != ""), "value", "event").select("event.*")
 
 
 def write_events(events: DataFrame, path: str, compression: str | None = None) -> None:

@@ -1,6 +1,7 @@
 """Event tables, graphs and statements on literal logs."""
 
 import datetime as dt
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -454,3 +455,12 @@ def test_a_walk_broadcasts_nothing(spark, monkeypatch, tmp_path):
     assert rows(got, "source", "final", "depth") == [("raw.x", "c.x", 3)]
     assert sum("SortMergeJoin" in plan for plan in plans) > 3
     assert not [plan for plan in plans if "BroadcastExchange" in plan]
+
+
+def test_the_text_of_an_event_is_parsed_once(spark, tmp_path):
+    (tmp_path / "log.json").write_text('{"eventType": "START", "run": {"runId": "a"}}\n')
+    events = eventlog.read_events(spark, str(tmp_path / "log.json")).select(
+        "eventType", "eventTime", "run.runId", "job.name", "run.facets.parent.run.runId", F.size("inputs")
+    )
+    plan = events._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"from_json\(.*?, value#\d+", plan)) == 1
