@@ -35,6 +35,8 @@ HOT_KEYS = 1 << 18
 BLOCK = 4096
 #: Pairs of one task that are held to give each out once.
 MOST_PAIRS = 500_000
+#: Cells of one task that are held to be given out together.
+HELD_CELLS = 100_000
 #: A task counts the keys that occur so often among so many keys, one after another.
 OFTEN, HELD_KEYS = 4, 1 << 20
 #: Places of the table by which a task tells keys that are not frequent.
@@ -299,10 +301,11 @@ def _verify(rule: Jaccard):
 
 
 def parities(shingle: np.ndarray) -> np.ndarray:
-    """Whether an odd number of shingles falls in each of some buckets, as bits: two to four
-    buckets per shingle, by the low bits of the hashes. Folded to the same size, two sets' bits
+    """Whether an odd number of shingles falls in each of some buckets, as bits: four to eight
+    buckets per shingle, 512 at least, by the low bits of the hashes. With fewer, sets just beyond
+    the distance hide it by sharing buckets, and each such pair is verified on its texts. Folded to the same size, two sets' bits
     differ in at most as many places as the sets do."""
-    buckets = 1 << max(6, _band(max(1, int(shingle.size))) + 2)
+    buckets = 1 << max(9, _band(max(1, int(shingle.size))) + 3)
     odd = np.bincount((shingle & U64(buckets - 1)).astype(np.int64), minlength=buckets) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").view(np.uint64)
 
@@ -350,12 +353,25 @@ def _near(rule: Jaccard):
     return run
 
 
-def _across(rule: Jaccard):
+def _across(rule: Jaccard, forest: bool = False):
     """Rows (cell, doc, component, side, n, sketch), sorted by cell, to pairs (a > b) of one cell
     that lie in different components and may be linked by their sizes and sketches. ``side`` is 0
-    in a cell that is paired with itself, else 1 or 2, and pairs have both."""
+    in a cell that is paired with itself, else 1 or 2, and pairs have both.
 
-    def pairs(rows: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    With ``forest``, components that a pair given out would link count as one from then on, so that
+    a cell gives fewer pairs than it has components; a cell of which pairs were left out for that
+    is a row (NULL, NULL, cell).
+    """
+
+    left_out: set[int] = set()
+
+    def cells_left() -> pa.RecordBatch:
+        cells = pa.array(sorted(left_out), pa.int64())
+        left_out.clear()
+        none = pa.nulls(len(cells), pa.int64())
+        return pa.record_batch([none, none, cells], names=["a", "b", "cell"])
+
+    def pairs(cell: int | None, rows: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         if len({r[1] for r in rows}) < 2:
             return
         doc, component, side, n = (np.array([r[i] for r in rows], dtype=np.int64) for i in range(4))
@@ -366,19 +382,29 @@ def _across(rule: Jaccard):
         # By size, then component: of several largest ones, the last has its rows together.
         order = np.lexsort((label, np.bincount(label)[label]))
         doc, component, side, n, bits = doc[order], component[order], side[order], n[order], bits[order]
+        label = np.unique(component, return_inverse=True)[1]
         # Documents of small components come first, so that those of the last, a largest one, never ask.
         for i in range(len(doc) - 1):
             if component[i] == component[-1]:
                 break
             rest = slice(i + 1, None)
-            maybe = component[rest] != component[i]
+            maybe = label[rest] != label[i]
+            if forest and np.count_nonzero(maybe) < np.count_nonzero(component[rest] != component[i]):
+                left_out.add(cell)
             maybe &= (side[rest] != side[i]) | (side[i] == 0)
             small, large = np.minimum(n[i], n[rest]), np.maximum(n[i], n[rest])
             maybe &= rule.den * small >= rule.num * large
             at = i + 1 + np.flatnonzero(maybe)
             differ = np.bitwise_count(bits[at] ^ bits[i]).sum(axis=1)
             most = (n[i] + n[at]) * (rule.den - rule.num) // (rule.den + rule.num)
-            other = doc[at[differ <= most]]
+            at = at[differ <= most]
+            if forest:
+                joined, first = np.unique(label[at], return_index=True)
+                if len(joined) < len(at):
+                    left_out.add(cell)
+                at = at[first]
+                label[np.isin(label, joined)] = label[i]
+            other = doc[at]
             yield np.maximum(other, doc[i]), np.minimum(other, doc[i])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -386,6 +412,7 @@ def _across(rule: Jaccard):
         cell = None
         found: list[tuple[np.ndarray, np.ndarray]] = []
         once = np.zeros((0, 2), dtype=np.int64)
+        left_out.clear()
 
         def gather() -> None:
             nonlocal once
@@ -394,12 +421,16 @@ def _across(rule: Jaccard):
             once = np.unique(np.concatenate([once, *new]), axis=0)
 
         def out() -> pa.RecordBatch:
-            return pa.record_batch([pa.array(once[:, 0].copy()), pa.array(once[:, 1].copy())], names=["a", "b"])
+            none = pa.nulls(len(once) if forest else 0, pa.int64())
+            columns = [pa.array(once[:, 0].copy()), pa.array(once[:, 1].copy()), none]
+            return pa.record_batch(columns if forest else columns[:2], names=["a", "b", "cell"][: 2 + forest])
 
         for batch in batches:
             for row in zip(*[batch.column(k).to_pylist() for k in range(6)]):
                 if row[0] != cell:
-                    found += pairs(held)
+                    found += pairs(cell, held)
+                    if len(left_out) > HELD_CELLS:
+                        yield cells_left()
                     cell, held = row[0], []
                     if len(found) > 4096:
                         gather()
@@ -407,9 +438,11 @@ def _across(rule: Jaccard):
                             yield out()
                             once = once[:0]
                 held.append(row[1:])
-        found += pairs(held)
+        found += pairs(cell, held)
         gather()
         yield out()
+        if forest:
+            yield cells_left()
 
     return run
 
@@ -450,6 +483,22 @@ def _verified(rule: Jaccard, docs: DataFrame, near: DataFrame) -> DataFrame:
     return written(rows.mapInArrow(_verify(rule), "a long, b long"), "verified")
 
 
+def _joined(found: DataFrame, links: DataFrame) -> DataFrame:
+    """``found`` (id, component) with what verified pairs (a > b) link made one. What it does not
+    name is a component of its own; only the components linked are gone through."""
+    ends = links.select("a", "b")
+    for end in ("a", "b"):
+        label = found.select(F.col("id").alias(end), F.col("component").alias(f"of_{end}"))
+        ends = ends.join(label, end, "left").withColumn(f"of_{end}", F.coalesce(f"of_{end}", end))
+    edges = ends.where("of_a != of_b").select(
+        F.greatest("of_a", "of_b").alias("a"), F.least("of_a", "of_b").alias("b")
+    )
+    least = components(edges)
+    up = least.select(F.col("id").alias("component"), F.col("component").alias("least"))
+    known = found.join(up, "component", "left").select("id", F.coalesce("least", "component").alias("component"))
+    return written(known.unionAll(least.join(found, "id", "left_anti")), "components")
+
+
 def jaccard_components(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
     """(doc_id, n_shingles, component_id) for every row of ``docs`` (doc_id, text, and any more).
 
@@ -458,10 +507,11 @@ def jaccard_components(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
     component. Rows that repeat a doc_id come back one by one; they count as one document that
     links by whichever of its texts does. An empty table gives no rows.
 
-    Pairs are verified in two rounds: first each key's least document against its others, as
+    Pairs are verified in rounds: first each key's least document against its others, as
     many pairs as rows, however large a group of copies is; then, of keys whose documents are not
-    all in one component by then, the pairs across components. Every pair that shares a key is
-    thus verified or within one component already.
+    all in one component by then, the pairs across components: a forest of them, and after it those
+    left out that still lie across. Every pair that shares a key is thus verified or within one
+    component already.
     """
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
@@ -539,19 +589,35 @@ def jaccard_components(docs: DataFrame, rule: Jaccard = Jaccard()) -> DataFrame:
             F.expr("case when block = other then 0 when block < other then 1 else 2 end").alias("side"),
         )
     )
-    asked = open_rows.select(F.col("doc").alias("a"), F.col("doc").alias("b")).distinct()
+    cells = written(cells, "cells")
+    asked = cells.select(F.col("doc").alias("a"), F.col("doc").alias("b")).distinct()
     shape = "doc_id long, n long, sketch binary"
     sketches = written(_rows_of(docs, asked).mapInArrow(_sketches(rule), shape), "sketches")
-    across = (
-        cells.join(sketches.withColumnRenamed("doc_id", "doc"), "doc")
-        .repartition("route")
-        .sortWithinPartitions("route", "cell")
-        .select("cell", "doc", "component", F.col("side").cast("long").alias("side"), "n", "sketch")
-        .mapInArrow(_across(rule), "a long, b long")
-        .distinct()
+
+    def paired(rows: DataFrame, forest: bool) -> DataFrame:
+        return (
+            rows.join(sketches.withColumnRenamed("doc_id", "doc"), "doc")
+            .repartition("route")
+            .sortWithinPartitions("route", "cell")
+            .select("cell", "doc", "component", F.col("side").cast("long").alias("side"), "n", "sketch")
+            .mapInArrow(_across(rule, forest), "a long, b long" + ", cell long" * forest)
+            .distinct()
+        )
+
+    # First no more pairs of a cell than it has components. Of near copies these link most, and
+    # only cells that then still have several components, and pairs left out, are paired in full.
+    few = written(paired(cells, True), "across")
+    found = _joined(found, _verified(rule, docs, few.where("cell is null").select("a", "b")))
+    label = found.select(F.col("id").alias("doc"), F.col("component").alias("now"))
+    again = (
+        cells.join(few.where("cell is not null").select("cell").distinct(), "cell", "left_semi")
+        .join(label, "doc", "left")
+        .withColumn("component", F.coalesce("now", "component"))
+        .drop("now")
     )
-    more = _verified(rule, docs, written(across, "across"))
-    found = components(links.unionAll(more))
+    several = again.groupBy("cell").agg(F.min("component").alias("x"), F.max("component").alias("y"))
+    again = again.join(several.where("x != y").select("cell"), "cell", "left_semi")
+    found = _joined(found, _verified(rule, docs, written(paired(again, False), "across")))
     return sizes.join(found.withColumnRenamed("id", "doc_id"), "doc_id", "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )

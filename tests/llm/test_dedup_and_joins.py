@@ -116,6 +116,39 @@ def test_parities_differ_in_no_more_places_than_sets():
         assert differ <= np.setxor1d(a, b).size
 
 
+def test_pairs_of_a_forest_grow_with_the_documents_not_their_square():
+    import numpy as np
+    import pyarrow as pa
+
+    sketch = shingle_join.parities(np.arange(1, 9, dtype=np.uint64)).tobytes()
+    names = ["cell", "doc", "component", "side", "n", "sketch"]
+    for docs, labels in ((300, 300), (300, 3)):
+        rows = [(7, d, d % labels, 0, 8, sketch) for d in range(docs)] + [(8, 0, 0, 0, 8, sketch), (8, 1, 1, 0, 8, sketch)]
+        batch = pa.record_batch([pa.array(c) for c in zip(*rows)], names=names)
+        out = shingle_join._across(Jaccard(), forest=True)([batch])
+        got = [p for one in out for p in zip(*one.to_pydict().values())]
+        pairs = {(a, b) for a, b, cell in got if cell is None}
+        assert labels - 1 <= len(pairs) < docs and all(a % labels != b % labels for a, b in pairs)
+        # The cell of two documents has nothing left out.
+        assert [cell for _, _, cell in got if cell is not None] == [7]
+
+
+def test_near_copies_of_one_text_are_linked_as_all_pairs_link_them(table):
+    """Few of them link with the least document; some at no more than one place of a long chain."""
+    draw = random.Random(4)
+    words = ["w%d" % i for i in range(60)]
+    docs = []
+    for i in range(60):
+        copy = list(words)
+        for at in draw.sample(range(60), draw.randint(1, 4)):
+            copy[at] = "x%d" % draw.randint(0, 3)
+        docs.append((i, " ".join(copy)))
+    want = reference.linked_components(docs)
+    assert 1 < len(set(want.values())) < 60
+    rows = jaccard_components(table(docs)).collect()
+    assert {(r.doc_id, r.component_id) for r in rows} == {(d, want.get(d)) for d, _ in docs}
+
+
 @pytest.mark.parametrize("blocks", [1, 2])
 def test_pairs_across_components_of_equal_size_in_any_order(blocks):
     import itertools
