@@ -18,10 +18,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stocktrail.llm.token_ids import document_ids
-from stocktrail.session import written
+from stocktrail.llm.words import sparing
+from stocktrail.session import batches_of, written
 
 #: Lengths are rounded up to multiples of this in the plan.
 GRID = 8
+#: Bytes of texts that go to a Python worker at a time, about.
+BATCH_BYTES = 1 << 21
 #: Buckets over which the ranking of one class is spread.
 BUCKETS = 256
 
@@ -161,7 +164,7 @@ def _pieces(tokenizer: str, end: int, length: int):
             columns = [pa.array(c, pa.int64()) for c in (zip(*rows) if rows else [[]] * 5)]
             yield pa.record_batch(columns, names=names)
 
-    return run
+    return sparing(run)
 
 
 def pack(docs: DataFrame, tokenizer: str, end: int, length: int = 2048, grid: int = GRID) -> DataFrame:
@@ -173,13 +176,13 @@ def pack(docs: DataFrame, tokenizer: str, end: int, length: int = 2048, grid: in
     tokens. An empty table gives no rows.
     """
     spark = docs.sparkSession
-    pieces = written(
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-            _pieces(tokenizer, end, length),
-            "doc_id long, start long, length long, ids_crc32 long, doc_tokens long",
-        ),
-        "pieces",
-    ).withColumn("class", F.ceil(F.col("length") / grid).cast("int"))
+    cut = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
+        _pieces(tokenizer, end, length),
+        "doc_id long, start long, length long, ids_crc32 long, doc_tokens long",
+    )
+    with batches_of(spark, BATCH_BYTES):
+        pieces = written(cut, "pieces")
+    pieces = pieces.withColumn("class", F.ceil(F.col("length") / grid).cast("int"))
     # At most length / grid rows.
     histogram = sorted(tuple(r) for r in pieces.groupBy("class").count().collect())
     classes = [c for c, _ in histogram]

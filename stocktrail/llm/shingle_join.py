@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from stocktrail.llm.components import components
-from stocktrail.llm.words import PLACES, U64, mix, shingles, slices
+from stocktrail.llm.words import PLACES, U64, mix, shingles, slices, sparing
 from stocktrail.session import written
 
 #: Keys of frequent subsets that are known to all tasks: at most so many, the most frequent.
@@ -262,7 +262,7 @@ def _sizes_and_counts(rule: Jaccard):
         columns = [pa.nulls(len(often.keys), pa.int64()), pa.array(often.counts), pa.array(often.keys.view(np.int64))]
         yield pa.record_batch(columns, names=["doc_id", "n_shingles", "key"])
 
-    return run
+    return sparing(run)
 
 
 def _signed(rule: Jaccard, hot):
@@ -277,7 +277,7 @@ def _signed(rule: Jaccard, hot):
                     names=["doc", "key"],
                 )
 
-    return run
+    return sparing(run)
 
 
 def _verify(rule: Jaccard):
@@ -297,7 +297,7 @@ def _verify(rule: Jaccard):
                     keep[i] = rule.linked(last[1], other)
             yield batch.select([0, 1]).filter(pa.array(keep))
 
-    return run
+    return sparing(run)
 
 
 def parities(shingle: np.ndarray) -> np.ndarray:
@@ -330,7 +330,7 @@ def _sketches(rule: Jaccard):
                     names=["doc_id", "n", "sketch"],
                 )
 
-    return run
+    return sparing(run)
 
 
 def _apart(rule: Jaccard, n_a: int, n_b: int, a: bytes, b: bytes) -> bool:
@@ -350,7 +350,7 @@ def _near(rule: Jaccard):
             keep = [not _apart(rule, *row) for row in zip(*columns)]
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return run
+    return sparing(run)
 
 
 def _across(rule: Jaccard, forest: bool = False):
@@ -444,7 +444,7 @@ def _across(rule: Jaccard, forest: bool = False):
         if forest:
             yield cells_left()
 
-    return run
+    return sparing(run)
 
 
 def _rows_of(docs: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -16,9 +16,11 @@ from tokenizers import Tokenizer
 
 from stocktrail.llm.words import Slice, slices
 
-#: Places of the table of parts (a power of two), a quarter of which is filled at most, and ids
-#: remembered at most; then all are let go and learnt again.
-PLACES, MOST_IDS = 1 << 22, 8_000_000
+#: Places of the table of parts at first and at most (powers of two), a quarter of which is filled at
+#: most, and ids remembered at most; then all are let go and learnt again.
+FIRST_PLACES, PLACES, MOST_IDS = 1 << 16, 1 << 22, 8_000_000
+#: Bytes of new parts encoded in one call, about; the library takes some hundred times their memory.
+LEARN_BYTES = 1 << 16
 #: Places next to its own in which a part may lie.
 PROBES = 16
 
@@ -31,15 +33,22 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.key = np.zeros(PLACES + PROBES, dtype=np.uint64)
-        self.slot = np.zeros(PLACES + PROBES, dtype=np.int32)
+        self._make_places(FIRST_PLACES)
         self.pool = np.zeros(0, dtype=np.uint32)
         self.at = np.zeros(0, dtype=np.int64)
         self.n = np.zeros(0, dtype=np.int64)
 
+    def _make_places(self, places: int) -> None:
+        self.places = places
+        self.key = np.zeros(places + PROBES, dtype=np.uint64)
+        self.slot = np.zeros(places + PROBES, dtype=np.int32)
+
+    def _place(self, keys: np.ndarray) -> np.ndarray:
+        return (keys & np.uint64(self.places - 1)).astype(np.int64)
+
     def _find(self, keys: np.ndarray) -> np.ndarray:
         """Slot of each key, -1 where it is not known."""
-        place = (keys & np.uint64(PLACES - 1)).astype(np.int64)
+        place = self._place(keys)
         there = self.key[place]
         slots = np.where(there == keys, self.slot[place], np.int32(-1))
         left = np.flatnonzero((there != keys) & (there != 0))
@@ -63,7 +72,23 @@ class Encoder:
         self.n = np.concatenate([self.n, n])
         self.pool = np.concatenate([self.pool, np.array(found.ids, dtype=np.uint32)])
         new = np.arange(first, len(self.n), dtype=np.int32)
-        place = (keys & np.uint64(PLACES - 1)).astype(np.int64)
+        if len(self.n) > self.places // 4:
+            keys, new = self._wider(keys, new)
+        self._put(keys, new)
+
+    def _wider(self, keys: np.ndarray, new: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Make a larger table; what is to be put into it, with what the old one held."""
+        held = np.flatnonzero(self.key)
+        keys = np.concatenate([self.key[held], keys])
+        new = np.concatenate([self.slot[held], new])
+        places = self.places
+        while len(keys) > places // 4:
+            places *= 2
+        self._make_places(places)
+        return keys, new
+
+    def _put(self, keys: np.ndarray, new: np.ndarray) -> None:
+        place = self._place(keys)
         for _ in range(PROBES):
             # Of several keys that ask for one free place, one gets it; the others go on.
             free = np.flatnonzero(self.key[place] == 0)
@@ -85,8 +110,11 @@ class Encoder:
         if unknown.size:
             new, one = np.unique(keys[unknown], return_index=True)
             data = words.data.tobytes()
-            spans = zip(words.starts[unknown[one]].tolist(), words.stops[unknown[one]].tolist())
-            self._learn(new, [data[a:b].decode() for a, b in spans])
+            starts, stops = words.starts[unknown[one]], words.stops[unknown[one]]
+            group = np.cumsum(stops - starts) // LEARN_BYTES
+            for some in np.split(np.arange(len(new)), np.flatnonzero(np.diff(group)) + 1):
+                spans = zip(starts[some].tolist(), stops[some].tolist())
+                self._learn(new[some], [data[a:b].decode() for a, b in spans])
             slots[unknown] = self._find(keys[unknown])
         n = self.n[slots]
         stop = np.cumsum(n)

@@ -8,7 +8,8 @@ chance alone, once in 2^64. All constants come from one seed, the same in every
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -87,6 +88,26 @@ def _span_hash(sums: np.ndarray, starts: np.ndarray, stops: np.ndarray, salt=U64
         return mix(sums[stops] - sums[starts] + size * PLACES[61] + salt * PLACES[63])
 
 
+def _give_back() -> None:
+    """Return to the system what is free in this process; not every C library can be asked for it."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
+def sparing(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run`` for ``mapInArrow``, holding on to no freed memory: Python workers are used again, and what
+    one job has freed would lie beside the memory of the next, or beside that of a job without Python."""
+
+    def spared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _give_back()
+        yield from run(batches)
+        _give_back()
+
+    return spared
+
+
 def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """(bytes, offsets) of a text column, NULL as empty, without copying the bytes."""
     if isinstance(column, pa.ChunkedArray):
@@ -134,8 +155,9 @@ def _words(data: np.ndarray, offsets: np.ndarray, first: int, parts: bool) -> Sl
         begins[1:] |= meet
         ends[:-1] |= meet
     starts, stops = np.flatnonzero(begins), np.flatnonzero(ends) + 1
-    at = np.arange(n)
-    place = at - np.maximum.accumulate(np.where(begins, at, 0)) if n else at
+    # Places take half the memory where they fit 32 bits.
+    at = np.arange(n, dtype=np.int32 if n < 1 << 31 else np.int64)
+    place = at - np.maximum.accumulate(np.where(begins, at, at.dtype.type(0))) if n else at
     value = _VALUES[np.minimum(place, _KEPT - 1) << 8 | data]
     far = np.flatnonzero((place >= _KEPT) & ~space)
     value[far] = _value(data[far], place[far])

@@ -1,4 +1,5 @@
 import random
+import uuid
 import zlib
 
 import numpy as np
@@ -6,11 +7,12 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
 
+from stocktrail.llm import packing, token_ids
 from stocktrail.llm.elias_fano import EliasFano, TokenFile, token_table
 from stocktrail.llm.packing import fullest, pack, plan, solve_patterns
 from stocktrail.llm.queries import END_ID, tokenizer_path
 from stocktrail.llm.token_ids import document_ids
-from stocktrail.llm.words import shingles, slices
+from stocktrail.llm.words import shingles, slices, sparing
 from tests.llm import reference
 
 TEXTS = st.lists(st.one_of(st.none(), st.text(alphabet="aAbB é\n\t\x0b\x1f\x85ñ.|'1-", max_size=40)), max_size=8)
@@ -63,6 +65,52 @@ def test_ids_are_the_librarys(library):
         assert ids.tolist() == library.encode(text or "", add_special_tokens=False).ids + [END_ID], text
 
 
+def test_encoder_table_grows_and_learns_some_parts_at_a_time(library, monkeypatch):
+    monkeypatch.setattr(token_ids, "FIRST_PLACES", 64)
+    monkeypatch.setattr(token_ids, "LEARN_BYTES", 100)
+    encoder, asked = token_ids.Encoder(tokenizer_path()), []
+    learn = encoder._learn
+    monkeypatch.setattr(encoder, "_learn", lambda keys, parts: (asked.append(sum(map(len, parts))), learn(keys, parts)))
+    texts = [" ".join(f"{chr(97 + i % 26)}{'xyz' * (i % 5)} {i}" for i in range(k, k + 700)) for k in (0, 350, 0)]
+    for part in slices(pa.array(texts), parts=True):
+        ids, edges = encoder.ids(part)
+        for i in range(part.n):
+            want = library.encode(texts[part.first + i], add_special_tokens=False).ids
+            assert ids[edges[i] : edges[i + 1]].tolist() == want
+    assert max(asked) < 130 and len(asked) > 10
+    assert 4 * len(encoder.n) <= encoder.places < 16 * len(encoder.n)
+
+
+def test_workers_get_small_batches_of_texts_to_pack(spark, tmp_path, monkeypatch):
+    """Batches of 10,000 texts took an executor's memory."""
+    seen, pieces = str(tmp_path), packing._pieces
+
+    def noted(tokenizer, end, length):
+        def note(batches):
+            for batch in batches:
+                with open(f"{seen}/{uuid.uuid4().hex}", "w") as file:
+                    file.write(str(batch.nbytes))
+                yield batch
+
+        run = pieces(tokenizer, end, length)
+        return lambda batches: run(note(batches))
+
+    monkeypatch.setattr(packing, "_pieces", noted)
+    monkeypatch.setattr(packing, "BATCH_BYTES", 20_000)
+    docs = spark.range(400).selectExpr("id AS doc_id", "repeat(concat(id, ' word '), 100) AS text").coalesce(1)
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    assert pack(docs, tokenizer_path(), END_ID).select("doc_id").distinct().count() == 400
+    sizes = [int(p.read_text()) for p in tmp_path.iterdir()]
+    assert len(sizes) > 10 and max(sizes) < 60_000
+    assert spark.conf.get(name, None) == before
+
+
+def test_sparing_changes_no_batch():
+    batches = [pa.record_batch([pa.array([i, i + 1])], names=["n"]) for i in range(3)]
+    assert list(sparing(lambda given: (b.slice(1) for b in given))(iter(batches))) == [b.slice(1) for b in batches]
+
+
 @settings(max_examples=100, deadline=None)
 @given(st.lists(st.integers(0, 10**12), max_size=400))
 def test_elias_fano_gives_back_each_number(values):
