@@ -247,8 +247,10 @@ def run_roots(runs: DataFrame) -> DataFrame:
     run has looked up, so a tree of depth d takes log2(d) rounds. Runs on a cycle of parents, and
     those below one, have NULL for root and depth: they are those left when a round finds no root,
     as the depths of a tree have no gaps.
+
+    ``runs`` may be a long way from a log and is read three times, so its two columns are cut first.
     """
-    table = runs.select("run_id", F.col("parent_run_id").alias("up"))
+    table = cut(runs.select("run_id", F.col("parent_run_id").alias("up")))
     parents = table.where(F.col("up").isNotNull()).select(F.col("up").alias("run_id")).distinct()
     known = parents.join(table.select("run_id"), "run_id").select(F.col("run_id").alias("up"))
     linked = table.join(known.withColumn("_known", F.lit(True)), "up", "left").select(

@@ -99,6 +99,22 @@ def test_deep_tree_and_cycle_of_parents(spark):
     assert tree == {"c0": (12, 11), None: (4, None)}
 
 
+def test_roots_work_the_run_table_out_once(spark, tmp_path, monkeypatch):
+    chain = [(f"c{i}", "ns", "j", at(i), None, f"c{i - 1}" if i else None, "ns", "j", None, None)
+             for i in range(5)]
+    _events(spark, chain).write.parquet(str(tmp_path / "log"))
+    plans = []
+
+    def noted(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return cut(df)
+
+    monkeypatch.setattr(R, "cut", noted)
+    roots = R.run_roots(R.runs(spark.read.parquet(str(tmp_path / "log"))))
+    assert rows(roots, "depth", "root_id", "run_id") == [(i, "c0", f"c{i}") for i in range(5)]
+    assert sum(len(re.findall("FileScan parquet", plan)) for plan in plans) == 1
+
+
 def test_a_parent_with_most_of_the_runs(spark):
     data = [("top", "ns", "t", at(0), at(9), None, None, None, None, None)] + [
         (f"s{i}", "ns", "s", at(1), at(2), "top", "ns", "t", None, None) for i in range(300)
