@@ -11,9 +11,13 @@ _EVENT_ID = {"_run": "run.runId", "_type": "eventType", "_time": "eventTime"}
 
 
 def dedupe(events: DataFrame) -> DataFrame:
-    """One copy of an event that was sent more than once."""
+    """One copy of an event that was sent more than once.
+
+    Whole events are sorted for this. They are shuffled first, so that a task sorts what it was sent,
+    and not all the events that it makes of much smaller rows.
+    """
     ids = {name: F.col(path) for name, path in _EVENT_ID.items()}
-    return events.withColumns(ids).dropDuplicates(list(ids)).drop(*ids)
+    return events.withColumns(ids).repartition(*ids).dropDuplicates(list(ids)).drop(*ids)
 
 
 def runs(events: DataFrame) -> DataFrame:

@@ -99,6 +99,18 @@ def test_deep_tree_and_cycle_of_parents(spark):
     assert tree == {"c0": (12, 11), None: (4, None)}
 
 
+def test_events_are_sorted_for_their_copies_after_the_shuffle_alone(spark):
+    events = _flow(spark)
+    sent = events.union(events)
+    plan = R.dedupe(sent)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(_run") == 1
+    above, below = plan.split("Exchange hashpartitioning(_run")
+    assert "Sort" in above and "Sort" not in below and "Aggregate" not in below
+    assert rows(R.dedupe(sent).select(F.to_json(F.struct("*")).alias("e"))) == rows(
+        events.select(F.to_json(F.struct("*")).alias("e"))
+    )
+
+
 def test_roots_work_the_run_table_out_once(spark, tmp_path, monkeypatch):
     chain = [(f"c{i}", "ns", "j", at(i), None, f"c{i - 1}" if i else None, "ns", "j", None, None)
              for i in range(5)]
