@@ -16,14 +16,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
-from stocktrail.llm.words import U64, Slice, slices
-from stocktrail.session import written
+from stocktrail.llm.words import U64, Slice, slices, sparing
+from stocktrail.session import batches_of, written
 
 UNKNOWN = "und"
 #: Affixes up to so many bytes; a word's grams together weigh as much as so many affixes.
 PREFIX, SUFFIX, GRAMS = 3, 4, 3.0
 #: Words whose grams are looked at together, words of a block of the field.
-TOGETHER, BLOCK = 1 << 17, 512
+TOGETHER, BLOCK = 1 << 15, 512
+#: Bytes of texts that go to a Python worker at a time, about.
+BATCH_BYTES = 1 << 21
 #: Rows (word, language, times) that a task holds before they go on.
 HELD = 1 << 18
 
@@ -355,8 +357,9 @@ def lexicon_of(rule: Rule, training: DataFrame, languages: list[str]) -> tuple[n
     """(words as sorted hashes, their shares of the languages): the ``rule.lexicon`` most frequent
     words of each language, by counts over all of ``training`` (lang, text)."""
     spark = training.sparkSession
-    counts = training.select("lang", "text").mapInArrow(_language_counts, "word long, lang string, n long")
-    counts = written(counts.groupBy("word", "lang").agg(F.sum("n").alias("n")), "language-words")
+    counts = training.select("lang", "text").mapInArrow(sparing(_language_counts), "word long, lang string, n long")
+    with batches_of(spark, BATCH_BYTES):
+        counts = written(counts.groupBy("word", "lang").agg(F.sum("n").alias("n")), "language-words")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))
     top = counts.withColumn("rank", rank).where(F.col("rank") <= rule.lexicon).select("word").distinct()
     # So many words per language at most.
@@ -387,7 +390,7 @@ def _spans(rule: Rule):
                         words.append(b" ".join(data[part.starts[w] : part.stops[w]] for w in some).decode())
             yield pa.record_batch([pa.array(lang, pa.string()), pa.array(words, pa.string())], names=["lang", "words"])
 
-    return run
+    return sparing(run)
 
 
 def learn(rule: Rule, docs: DataFrame) -> Field | None:
@@ -404,7 +407,8 @@ def learn(rule: Rule, docs: DataFrame) -> Field | None:
     some = training.select("lang", "text", key.alias("key")).where(F.pmod("key", F.lit(1 << 30)) < share * float(1 << 30) + 1)
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
     some = some.withColumn("rank", rank).where(F.col("rank") <= rule.sample)
-    spans = some.select("lang", "text").mapInArrow(_spans(rule), "lang string, words string").toPandas()
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        spans = some.select("lang", "text").mapInArrow(_spans(rule), "lang string, words string").toPandas()
     rows = sorted(zip(spans["lang"], spans["words"]))
     return fit(rule, rows, languages, lexicon, shares)
 
@@ -431,7 +435,7 @@ def _predict(model):
                 ]
                 yield pa.record_batch(columns, names=["doc_id", "held_out", "lang_pred", "score"])
 
-    return run
+    return sparing(run)
 
 
 def languages(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
@@ -454,4 +458,7 @@ def languages(docs: DataFrame, rule: Rule = Rule()) -> DataFrame:
     if field is None:
         return rows.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
     model = docs.sparkSession.sparkContext.broadcast(field)
-    return rows.mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double")
+    said = rows.mapInArrow(_predict(model), "doc_id long, held_out boolean, lang_pred string, score double")
+    # Worked out here, as the size of batches is a setting of the session: some twenty bytes a text.
+    with batches_of(docs.sparkSession, BATCH_BYTES):
+        return written(said, "languages")

@@ -1,6 +1,7 @@
 import itertools
 import os
 import random
+import uuid
 from collections import Counter
 
 import numpy as np
@@ -248,3 +249,32 @@ def test_words_that_collide_in_a_polynomial_hash_are_told_apart(size):
     plain = Tokenizer.from_file(tokenizer_path())
     for text, ids in zip(texts.to_pylist(), document_ids(tokenizer_path(), texts, 1)):
         assert ids.tolist() == [*plain.encode(text, add_special_tokens=False).ids, 1]
+
+
+def test_texts_go_to_the_prediction_in_small_batches(spark, tmp_path, monkeypatch):
+    """Batches of 10,000 texts took an executor's memory."""
+    seen, predict = str(tmp_path), language_crf._predict
+
+    def noted(model):
+        run = predict(model)
+
+        def note(batches):
+            for batch in batches:
+                with open(f"{seen}/{uuid.uuid4().hex}", "w") as file:
+                    file.write(str(batch.nbytes))
+                yield batch
+
+        return lambda batches: run(note(batches))
+
+    monkeypatch.setattr(language_crf, "_predict", noted)
+    monkeypatch.setattr(language_crf, "BATCH_BYTES", 20_000, raising=False)
+    docs = spark.range(400).selectExpr(
+        "id AS doc_id", "repeat(if(id % 2 = 0, 'the word ', 'das wort '), 100) AS text", "if(id % 2 = 0, 'en', 'de') AS lang"
+    )
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name, None)
+    out = languages(docs.coalesce(1), Rule(steps=5)).collect()
+    assert {(r.doc_id, r.lang_pred) for r in out} == {(i, "de" if i % 2 else "en") for i in range(400)}
+    sizes = [int(p.read_text()) for p in tmp_path.iterdir()]
+    assert len(sizes) > 10 and max(sizes) < 60_000
+    assert spark.conf.get(name, None) == before
