@@ -33,6 +33,8 @@ HOT_KEYS = 1 << 18
 #: Documents of one key that are paired in one task at most; a key with more is as many blocks
 #: as it takes, and every two blocks are a task's cell.
 BLOCK = 4096
+#: A cell of so many documents is gone through pair by pair; arrays for each would take longer.
+FEW = 16
 #: Pairs of one task that are held to give each out once.
 MOST_PAIRS = 500_000
 #: Cells of one task that are held to be given out together.
@@ -371,9 +373,34 @@ def _across(rule: Jaccard, forest: bool = False):
         none = pa.nulls(len(cells), pa.int64())
         return pa.record_batch([none, none, cells], names=["a", "b", "cell"])
 
-    def pairs(cell: int | None, rows: list[tuple]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def few_pairs(cell: int | None, rows: list[tuple]) -> Iterator[tuple[list[int], list[int]]]:
+        doc, component, side, n, sketch = zip(*rows)
+        words = min(map(len, sketch)) // 8
+        bits = [int.from_bytes(b if len(b) == 8 * words else _folded(np.frombuffer(b, np.uint64), words).tobytes()) for b in sketch]
+        label, a, b = list(component), [], []
+        for i in range(len(doc)):
+            for j in range(i):
+                if component[i] == component[j] or side[i] == side[j] != 0:
+                    continue
+                if rule.den * min(n[i], n[j]) < rule.num * max(n[i], n[j]):
+                    continue
+                if (bits[i] ^ bits[j]).bit_count() > rule.distance(n[i], n[j]):
+                    continue
+                if label[i] == label[j]:
+                    left_out.add(cell)
+                    continue
+                a.append(max(doc[i], doc[j])), b.append(min(doc[i], doc[j]))
+                if forest:
+                    label = [label[i] if x == label[j] else x for x in label]
+        if a:
+            yield a, b
+
+    def pairs(cell: int | None, rows: list[tuple]) -> Iterator[tuple]:
         if len({r[1] for r in rows}) < 2:
             return
+        if len(rows) <= FEW:
+            yield from few_pairs(cell, rows)
+            return
         doc, component, side, n = (np.array([r[i] for r in rows], dtype=np.int64) for i in range(4))
         bits = [np.frombuffer(r[4], np.uint64) for r in rows]
         words = min(b.size for b in bits)
@@ -410,7 +437,7 @@ def _across(rule: Jaccard, forest: bool = False):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         cell = None
-        found: list[tuple[np.ndarray, np.ndarray]] = []
+        found: list[tuple] = []
         once = np.zeros((0, 2), dtype=np.int64)
         left_out.clear()
 

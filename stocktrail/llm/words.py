@@ -34,7 +34,7 @@ _KIND[_SPACE] = 0
 #: Multipliers that bind words to their places in a window.
 PLACES = _odd(64)
 #: Texts are worked on in slices of about so many bytes, which stay in a CPU's cache.
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 
 def mix(h: np.ndarray) -> np.ndarray:

@@ -172,6 +172,41 @@ def test_pairs_across_components_of_equal_size_in_any_order(blocks):
             assert sorted(got) == sorted(want), order
 
 
+@pytest.mark.parametrize("forest", [False, True])
+def test_small_cells_go_pair_by_pair_as_large_ones_by_arrays(forest, monkeypatch):
+    """Arrays for each of many cells of a few documents took most of a task."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng, rows, doc = np.random.default_rng(5), [], 0
+    for cell in range(150):
+        base, blocks = rng.integers(0, 2**63, 140).astype(np.uint64), rng.integers(1, 3)
+        for _ in range(rng.integers(2, 7)):
+            some, doc = base[: int(rng.choice([60, 62, 66, 100, 140]))], doc + 1
+            component = -cell if rng.random() < 0.3 else doc
+            side = 0 if blocks == 1 else 1 + doc % 2
+            rows.append((cell, doc, component, side, len(some), shingle_join.parities(some).tobytes()))
+    assert len({len(r[5]) for r in rows}) > 1
+    batch = pa.record_batch([pa.array(c) for c in zip(*rows)], names=["cell", "doc", "component", "side", "n", "sketch"])
+    got, sorts, lexsort = {}, [], np.lexsort
+    monkeypatch.setattr(np, "lexsort", lambda keys: sorts.append(1) or lexsort(keys))
+    for few in (0, 16):
+        monkeypatch.setattr(shingle_join, "FEW", few, raising=False)
+        out = shingle_join._across(Jaccard(), forest)([batch])
+        out = [p for one in out for p in one.to_pylist()]
+        pairs = [(r["a"], r["b"]) for r in out if r["a"] is not None]
+        of = {r[1]: r[2] for r in rows}
+        linked = {(max(of[a], of[b]), min(of[a], of[b])) for a, b in pairs}
+        left = {r["cell"] for r in out if r.get("cell") is not None}
+        got[few] = (reference.union(linked, set(of.values())), left if forest else set(pairs))
+        if few == 0:
+            assert pairs and (left or not forest) and sorts
+            sorts.clear()
+    assert not sorts and got[0][0] == got[16][0]
+    # Pair by pair, a cell is left open only for pairs that may be linked.
+    assert got[16][1] <= got[0][1] if forest else got[16][1] == got[0][1]
+
+
 def test_connected_components_of_a_chain_a_star_and_a_ring(spark):
     links = [(i + 1, i) for i in range(1, 40)] + [(100 + i, 100) for i in range(1, 30)] + [(201, 200), (202, 201), (202, 200)]
     draw = random.Random(1)
