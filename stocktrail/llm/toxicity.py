@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from stocktrail.llm.words import U64, Slice, slices
+from stocktrail.llm.words import U64, Slice, slices, sparing
 
 #: A filter in front of the look-up of features: that many flags.
 FLAGS = 1 << 18
@@ -238,7 +238,7 @@ def _predict(rule: Rule, model):
                 ]
                 yield pa.record_batch(columns, names=["row", "severity", "p_toxic", "grade"])
 
-    return run
+    return sparing(run)
 
 
 def graded(docs: DataFrame, labels: DataFrame, rule: Rule = Rule()) -> DataFrame:

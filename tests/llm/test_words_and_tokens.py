@@ -106,6 +106,18 @@ def test_workers_get_small_batches_of_texts_to_pack(spark, tmp_path, monkeypatch
     assert spark.conf.get(name, None) == before
 
 
+def test_grading_toxicity_gives_freed_memory_back(monkeypatch):
+    """What its workers kept lay beside the memory of the pipeline's later stages."""
+    from types import SimpleNamespace
+
+    from stocktrail.llm import toxicity, words
+
+    given = []
+    monkeypatch.setattr(words, "_give_back", lambda: given.append(1))
+    assert list(toxicity._predict(toxicity.Rule(), SimpleNamespace(value=None))(iter([]))) == []
+    assert len(given) == 2
+
+
 def test_sparing_changes_no_batch():
     batches = [pa.record_batch([pa.array([i, i + 1])], names=["n"]) for i in range(3)]
     assert list(sparing(lambda given: (b.slice(1) for b in given))(iter(batches))) == [b.slice(1) for b in batches]
