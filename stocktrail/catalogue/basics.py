@@ -19,7 +19,7 @@ from stocktrail.operators.relational import (
 )
 from stocktrail.plans import housing, standins as S, user_trends
 from stocktrail.plans.standins import Tables
-from stocktrail.session import scratch_path
+from stocktrail.session import freed, scratch_path
 from stocktrail.sources import eventlog
 from stocktrail.sources.tables import (
     declare_window,
@@ -94,8 +94,10 @@ SELECT run_id, eventType, job, parent, {at('eventTime')} AS "eventTime", n_input
 
 @query("IO5 IO8 D6", _EVENT_COLUMNS)
 def event_log_round_trip(t: Tables) -> DataFrame:
+    # As text alone the log is some twenty times the tables it tells of.
     path = scratch_path(t.spark, "events")
-    eventlog.write_events(S.run_events(t), path)
+    with freed(t.spark):
+        eventlog.write_events(S.run_events(t), path, "gzip", eventlog.PER_FILE)
     return _event_columns(eventlog.read_events(t.spark, path))
 
 

@@ -131,11 +131,20 @@ def read_events(
     return with_parsed(lines.where(F.trim("value") != ""), "value", "event").select("event.*")
 
 
-def write_events(events: DataFrame, path: str, compression: str | None = None) -> None:
-    """Append events to a JSON-lines log, gzipped on request."""
+#: Events to a file of a gzipped log.
+PER_FILE = 25_000
+
+
+def write_events(
+    events: DataFrame, path: str, compression: str | None = None, per_file: int | None = None
+) -> None:
+    """Append events to a JSON-lines log, gzipped on request, at most ``per_file`` of them to a file: a
+    gzipped file is read by one task, whatever its size."""
     writer = events.select(*_fields_by_name(events)).write.mode("append")
     if compression:
         writer = writer.option("compression", compression)
+    if per_file:
+        writer = writer.option("maxRecordsPerFile", per_file)
     writer.json(path)
 
 
