@@ -9,7 +9,7 @@ from stocktrail.catalogue.registry import at, on, query
 from stocktrail.functions.scalars import day
 from stocktrail.plans import standins as S
 from stocktrail.plans.standins import Tables
-from stocktrail.session import scratch_path
+from stocktrail.session import freed, scratch_path, slices
 from stocktrail.sources import eventlog
 from stocktrail.streaming import jobs as J
 
@@ -31,9 +31,12 @@ def _ending_events(t: Tables, *types: str):
 
 
 def _event_stream(t: Tables) -> DataFrame:
+    """The events as a compressed log, sent in as many batches as jobs go in slices."""
     path = scratch_path(t.spark, "log")
-    eventlog.write_events(S.run_events(t), path)
-    return eventlog.read_events(t.spark, path, streaming=True)
+    eventlog.write_events(S.run_events(t), path, "gzip", eventlog.PER_FILE)
+    files = len(t.spark.read.text(path).inputFiles())
+    batch = -(-files // slices(t.spark))
+    return eventlog.read_events(t.spark, path, streaming=True, files_per_batch=max(1, batch))
 
 
 @query(
@@ -43,7 +46,8 @@ def _event_stream(t: Tables) -> DataFrame:
 def ingested_log(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "ingested")
     checkpoint = scratch_path(t.spark, "ingested-checkpoint")
-    J.ingest(_event_stream(t), path, checkpoint, period="month").awaitTermination()
+    with freed(t.spark):
+        J.ingest(_event_stream(t), path, checkpoint, period="month").awaitTermination()
     log = t.spark.read.parquet(path)
     return log.groupBy(day("eventTime").alias("event_date"), "eventType").agg(
         F.count("*").alias("n")
