@@ -135,8 +135,7 @@ def stream_of_a_pattern(t: Tables) -> DataFrame:
 )
 def run_state_of_a_stream(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "run-state")
-    stream = J.run_state_stream(
-        _event_stream(t), path, scratch_path(t.spark, "run-state-checkpoint")
-    )
-    stream.awaitTermination()
+    checkpoint = scratch_path(t.spark, "run-state-checkpoint")
+    with freed(t.spark):
+        J.run_state_stream(_event_stream(t), path, checkpoint).awaitTermination()
     return J.run_state(t.spark, path)

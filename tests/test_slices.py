@@ -99,6 +99,7 @@ def test_a_query_in_slices_agrees_with_its_sql(spark, monkeypatch, name):
     [
         "event_log_round_trip",
         "ingested_log",
+        "run_state_of_a_stream",
     ],
 )
 def test_a_log_takes_no_more_disk_than_the_tables(spark, monkeypatch, tmp_path, name):
