@@ -78,6 +78,7 @@ def test_slices_grow_in_number_with_the_input(spark, tmp_path, monkeypatch):
     [
         "inventory_per_day",
         "age_of_oldest_open_order",
+        "training_set",
     ],
 )
 def test_a_query_in_slices_agrees_with_its_sql(spark, monkeypatch, name):
