@@ -77,6 +77,7 @@ def test_slices_grow_in_number_with_the_input(spark, tmp_path, monkeypatch):
     "name",
     [
         "inventory_per_day",
+        "stock_outs_ahead",
         "age_of_oldest_open_order",
         "training_set",
     ],
